@@ -112,6 +112,29 @@ def value_as_typed(x: Column) -> Column:
     return _trimmed(F.when(whole, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(x))
 
 
+def split_values(text: Column, layout: Layout) -> Column:
+    """The values packed in ``text`` as an array, without looking up rules.
+
+    For use inside other expressions; equal to ``unpack`` value for value.
+    """
+    pattern = "|".join([*layout.delimiters, *(["(?=\\[\\d{1,4}\\]\\s)"] if layout.numbered else [])])
+    return _values(_cut(text, F.lit(pattern)), layout)
+
+
+def _values(items: Column, layout: Layout) -> Column:
+    if layout.commas != "never":
+
+        def at_commas(x: Column) -> Column:
+            pieces = _cut(x, F.lit(",\\s+"))
+            if layout.commas == "always":
+                return pieces
+            one_name = x.rlike('^\\s*[^\\s,"]+,[^,"]*$')
+            return F.when(one_name, F.array(x)).otherwise(pieces)
+
+        items = F.flatten(F.transform(items, at_commas))
+    return F.filter(F.transform(items, value_as_typed), lambda x: x != "")
+
+
 def unpack(df: DataFrame, key: str, field: str, layout: Layout, max_rules: int = 200_000) -> DataFrame:
     """One row per value of ``field``: ``key``, ``pos`` (from 1), ``item_value``.
 
@@ -126,17 +149,8 @@ def unpack(df: DataFrame, key: str, field: str, layout: Layout, max_rules: int =
     found = broadcast_if_small(rules(texts.select("skeleton").distinct(), layout), max_rules)
     ruled = texts.join(found, "skeleton")
     items = F.when(F.col("pattern") == "", F.array("_text")).otherwise(_cut(F.col("_text"), F.col("pattern")))
-    if layout.commas != "never":
-
-        def at_commas(x: Column) -> Column:
-            pieces = _cut(x, F.lit(",\\s+"))
-            if layout.commas == "always":
-                return pieces
-            one_name = x.rlike('^\\s*[^\\s,"]+,[^,"]*$')
-            return F.when(one_name, F.array(x)).otherwise(pieces)
-
-        items = F.when(F.col("commas"), F.flatten(F.transform(items, at_commas))).otherwise(items)
-    values = F.filter(F.transform(items, value_as_typed), lambda x: x != "")
+    whole = _values(items, Layout(layout.delimiters))
+    values = whole if layout.commas == "never" else F.when(F.col("commas"), _values(items, layout)).otherwise(whole)
     return ruled.select(F.col("_key").alias(key), F.posexplode(values).alias("pos", "item_value")).withColumn("pos", (F.col("pos") + 1).cast("int"))
 
 
