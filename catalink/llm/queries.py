@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalink.llm.components import components, encoded
+from catalink.llm.leakage import leaks
+from catalink.llm.spans import coverage, shared_pairs
 from catalink.llm.survivors import FIELDS, bare_doi, long_rows, survivors
 from catalink.sources.tables import table
 
@@ -41,8 +43,23 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
     return others.unionByName(tops).select(F.col("node").alias("isi_id"), F.col("component").alias("group_id"))
 
 
+def p8_found(spark: SparkSession, base: str) -> DataFrame:
+    """Documents that leak evaluation items."""
+    return leaks(table(spark, base, "documents", "doc_id", "text"), table(spark, base, "eval_items", "item_id", "item_text"))
+
+
+def p10_found(spark: SparkSession, base: str) -> DataFrame:
+    """Pairs of documents that share a span of 300 characters."""
+    return shared_pairs(table(spark, base, "documents", "doc_id", "text"))
+
+
+def p10_coverage(spark: SparkSession, base: str) -> DataFrame:
+    """How much of each document is shared elsewhere."""
+    return coverage(table(spark, base, "documents", "doc_id", "text"))
+
+
 def queries() -> dict:
-    return {"p3_found": p3_found, "p4_found": p4_found}
+    return {f.__name__: f for f in (p3_found, p4_found, p8_found, p10_found, p10_coverage)}
 
 
 def oracle_sql() -> dict[str, str]:

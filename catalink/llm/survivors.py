@@ -63,7 +63,7 @@ def long_rows(records: DataFrame, key: str, seen_at: str, trust: Column, fields:
     return rows.where("record is not null").groupBy("record", "field_name").agg(best).select("record", "field_name", "x.*")
 
 
-def survivors(groups: DataFrame, rows: DataFrame, boilerplate_at: int = 8, half_life_days: float = 730.0) -> DataFrame:
+def survivors(groups: DataFrame, rows: DataFrame, boilerplate_at: int = 5, half_life_days: float = 730.0) -> DataFrame:
     """``group_key``, ``field_name``, ``record`` whose value survives.
 
     ``groups`` has (``group_key``, ``record``); ``rows`` comes from
