@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalink.llm.canonical_names import match_names
 from catalink.llm.components import components, encoded
 from catalink.llm.leakage import leaks
 from catalink.llm.spans import coverage, shared_pairs
 from catalink.llm.survivors import FIELDS, bare_doi, long_rows, survivors
-from catalink.sources.tables import table
+from catalink.sources.tables import staged, table
+
+
+def p2_found(spark: SparkSession, base: str) -> DataFrame:
+    """The canonical journal of every typed name, 0 where it is not on the list."""
+    isi = table(spark, base, "isi_documents", "id", "journal").select(F.lit("isi_documents").alias("table_name"), F.col("id").alias("record_id"), F.col("journal").alias("name"))
+    journals = table(spark, base, "journals", "id", "name").select(F.lit("journals").alias("table_name"), F.col("id").alias("record_id"), "name")
+    typed = staged(isi.unionByName(journals).where(F.trim("name") != "").distinct(), "typed")
+    found = match_names(typed, table(spark, base, "journal_reference", "ref_id", "canonical_name"))
+    return typed.join(staged(found, "names"), "name").select("table_name", "record_id", "ref_id")
 
 
 def p3_found(spark: SparkSession, base: str) -> DataFrame:
@@ -59,7 +69,7 @@ def p10_coverage(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p3_found, p4_found, p8_found, p10_found, p10_coverage)}
+    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p8_found, p10_found, p10_coverage)}
 
 
 def oracle_sql() -> dict[str, str]:
