@@ -1,23 +1,29 @@
 """Evaluation texts leaking into training text: positional inverted index.
 
-The tokens of the training texts are stored as postings (term, document,
-position) of the terms that matter: for every stretch of an item as long as the
-shortest leak, its rarest terms by document frequency over all documents. The
-postings are intersected with offsets adjusted: terms of one quotation agree on
-document position minus item position, up to single inserted or lost words.
-Pairs with agreeing rare terms are verified word by word on the whole texts.
+The words of the training texts that occur in any test item are stored once as
+positional postings, partitioned by document, so every later step finds all
+postings of a document in one place and nothing is shuffled. For every stretch
+of an item as long as the shortest leak, its rarest terms by document frequency
+over all documents are looked up, and their postings intersected with offsets
+adjusted: terms of one quotation agree on document position minus item
+position, up to single inserted or lost words. Where rare terms agree, the
+postings of all the item's words are compared in order.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalink.sources.tables import broadcast_if_small, staged
+from catalink.sources.tables import staged
+
+WORD = re.compile(r"[^\W_]+")
 
 
 @dataclass(frozen=True)
@@ -26,32 +32,29 @@ class Leak:
     word may differ, at most ``gap`` in one place. ``rarest`` terms of every
     stretch are looked up, of which ``hits`` must agree on their offset. With
     r terms, s differing words leave r - s that agree; the defaults lose no
-    quotation with up to four differing words in a stretch."""
+    quotation with up to four differing words in a stretch. Items are searched
+    ``block`` at a time."""
 
     min_words: int = 15
     skipped: float = 0.25
     gap: int = 2
     rarest: int = 6
     hits: int = 2
-    max_items: int = 100_000
+    block: int = 20_000
 
 
-def words(text: Column) -> Column:
+def words(text: str) -> list[str]:
     """Words in lower case: runs of letters and digits."""
-    return F.regexp_extract_all(F.lower(text), F.lit("([\\p{L}\\p{N}]+)"), F.lit(1))
+    return WORD.findall(text.lower())
 
 
-def overlap(item: list[str], doc: list[str], gap: int) -> tuple[int, int]:
+def overlap(item: list[int], places: dict[int, list[int]], gap: int) -> tuple[int, int]:
     """Most words in order with at most ``gap`` others between, and the others.
 
-    Chains of equal words whose neighbours are at most ``gap + 1`` apart on
-    either side; the longest, and of these the one that skips least.
+    ``places`` has the positions of each word in the document. Chains of equal
+    words whose neighbours are at most ``gap + 1`` apart on either side; the
+    longest, and of these the one that skips least.
     """
-    places: dict[str, list[int]] = {}
-    wanted = set(item)
-    for j, w in enumerate(doc):
-        if w in wanted:
-            places.setdefault(w, []).append(j)
     best = (0, 0)
     rows: list[dict[int, tuple[int, int]]] = []
     reach = gap + 1
@@ -61,9 +64,7 @@ def overlap(item: list[str], doc: list[str], gap: int) -> tuple[int, int]:
             top = (1, 0)
             for di in range(1, min(reach, len(rows)) + 1):
                 before = rows[-di]
-                if not before:
-                    continue
-                for dj in range(1, reach + 1):
+                for dj in range(1, reach + 1) if before else ():
                     p = before.get(j - dj)
                     if p is not None:
                         c = (p[0] + 1, p[1] - max(di, dj) + 1)
@@ -76,25 +77,100 @@ def overlap(item: list[str], doc: list[str], gap: int) -> tuple[int, int]:
     return best[0], -best[1]
 
 
-def anchors(item_words: DataFrame, frequency: DataFrame, leak: Leak) -> DataFrame:
-    """(``term``, ``item_id``, ``at``): the rarest terms of every stretch of an item.
+def build_index(documents: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    """The postings of each document: ``doc_id``, ``terms``, ``positions``.
 
-    Terms that no document holds are left out: they cannot be found.
+    ``vocabulary`` numbers the words of the test items; others are left out.
     """
-    known = item_words.join(frequency, "term", "left")
 
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("at")
-        at, df, item = pdf["at"].tolist(), pdf["df"].fillna(0).tolist(), pdf["item_id"].iloc[0]
-        chosen: set[int] = set()
-        for k in range(max(0, len(at) - leak.min_words) + 1):
-            stretch = sorted(range(k, min(k + leak.min_words, len(at))), key=lambda i: (df[i], i))
-            chosen.update(stretch[: leak.rarest])
-        picked = [i for i in sorted(chosen) if df[i] > 0]
-        term = pdf["term"].tolist()
-        return pd.DataFrame({"term": [term[i] for i in picked], "item_id": [item] * len(picked), "at": [at[i] for i in picked]})
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for doc, text in zip(b["doc_id"], b["text"]):
+                found = [(t, p) for p, t in enumerate(map(vocabulary.get, words(text))) if t is not None]
+                if found:
+                    out.append((doc, [t for t, _ in found], [p for _, p in found]))
+            yield pd.DataFrame(out, columns=["doc_id", "terms", "positions"])
+
+    rows = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
+    return staged(rows.mapInPandas(run, "doc_id long, terms array<int>, positions array<int>"), "postings")
 
-    return known.groupBy("item_id").applyInPandas(pick, "term string, item_id long, at int")
+
+def anchors(item: list[int], frequency: np.ndarray, leak: Leak) -> list[int]:
+    """Positions of an item's terms to look up: the rarest of every stretch.
+
+    Terms that no document holds are left out after the choice: they cannot be
+    found, and count as differing.
+    """
+    chosen: set[int] = set()
+    for k in range(max(0, len(item) - leak.min_words) + 1):
+        stretch = sorted(range(k, min(k + leak.min_words, len(item))), key=lambda i: (frequency[item[i]], i))
+        chosen.update(stretch[: leak.rarest])
+    return [i for i in sorted(chosen) if frequency[item[i]] > 0]
+
+
+def _search(items: dict[int, list[int]], frequency: np.ndarray, leak: Leak):
+    """The function that finds leaks in batches of postings."""
+    ids = list(items)
+    looked = [(t, k, at) for k, i in enumerate(ids) for at, t in ((a, items[i][a]) for a in anchors(items[i], frequency, leak))]
+    looked.sort()
+    terms, number, place = (np.array([x[c] for x in looked], np.int64) for c in range(3))
+    begin = np.searchsorted(terms, np.arange(len(frequency) + 1))
+    width = 4 * (leak.gap + 1)
+    longest = max(map(len, items.values()), default=0)
+    padded = np.full((len(ids), longest), len(frequency) - 1)  # the last number is no word
+    for k, i in enumerate(ids):
+        padded[k, : len(items[i])] = items[i]
+
+    def candidates(t: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """(item, offset cell) where rare terms of an item agree in this document."""
+        n = begin[t + 1] - begin[t]
+        if not n.sum():
+            return np.empty((0, 2), np.int64)
+        hit = np.repeat(begin[t] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        held = np.zeros(len(frequency), bool)
+        held[t] = True
+        enough = held[padded].sum(axis=1) >= leak.min_words
+        keep = enough[number[hit]]
+        p, hit = np.repeat(p, n)[keep], hit[keep]
+        offset = p - place[hit] + (1 << 20)
+        # drift of a word or two at each difference: two overlapping grids of offsets
+        cell = np.concatenate([offset // width * 2, (offset + width // 2) // width * 2 + 1])
+        key = np.unique((np.tile(number[hit], 2) << 40 | cell) << 12 | np.tile(place[hit], 2) & 4095) >> 12
+        cells, times = np.unique(key, return_counts=True)
+        cells = cells[times >= leak.hits]
+        return np.stack([cells >> 40, cells & ((1 << 40) - 1)], axis=1)
+
+    def dense(k: int, cell: int, t: np.ndarray, p: np.ndarray) -> bool:
+        """Whether enough words of the item stand near the offsets of the cell."""
+        low = cell // 2 * width - (width // 2) * (cell % 2) - (1 << 20) - width
+        at, j = np.nonzero(padded[k][:, None] == t[None, :])
+        offset = p[j] - at
+        return len(np.unique(at[(offset >= low) & (offset < low + 3 * width)])) >= leak.min_words
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for doc, t, p in zip(b["doc_id"], b["terms"], b["positions"]):
+                t, p = np.asarray(t, np.int64), np.asarray(p, np.int64)
+                if len(t) < leak.min_words:
+                    continue
+                places: dict[int, list[int]] | None = None
+                done: set[int] = set()
+                for k, cell in candidates(t, p).tolist():
+                    if k in done or not dense(k, cell, t, p):
+                        continue
+                    if places is None:
+                        places = {}
+                        for w, q in zip(t.tolist(), p.tolist()):
+                            places.setdefault(w, []).append(q)
+                    done.add(k)
+                    n, skipped = overlap(items[ids[k]], places, leak.gap)
+                    if n >= leak.min_words and skipped <= leak.skipped * n:
+                        out.append((doc, ids[k]))
+            yield pd.DataFrame(out, columns=["doc_id", "item_id"])
+
+    return run
 
 
 def leaks(documents: DataFrame, items: DataFrame, leak: Leak = Leak()) -> DataFrame:
@@ -106,33 +182,18 @@ def leaks(documents: DataFrame, items: DataFrame, leak: Leak = Leak()) -> DataFr
     give no rows; further columns are ignored. Texts of any length are
     searched whole.
     """
-    texts = documents.select("doc_id", words(F.col("text")).alias("w")).where("doc_id is not null")
-    listed = items.select("item_id", words(F.col("item_text")).alias("item_w")).where(F.size("item_w") >= leak.min_words).dropDuplicates(["item_id"])
-    listed = broadcast_if_small(listed, leak.max_items)
-    item_words = listed.select("item_id", F.posexplode("item_w").alias("at", "term"))
-    vocabulary = broadcast_if_small(item_words.select("term").distinct(), 50 * leak.max_items)
-    frequency = texts.select(F.explode(F.array_distinct("w")).alias("term")).join(vocabulary, "term").groupBy("term").agg(F.count("*").alias("df"))
-    sought = broadcast_if_small(anchors(item_words, frequency, leak), 50 * leak.max_items)
-    # the index: postings of the sought terms
-    postings = texts.select("doc_id", F.posexplode("w").alias("pos", "term"))
-    terms = broadcast_if_small(sought.select("term").distinct(), 50 * leak.max_items)
-    index = staged(postings.join(terms, "term"), "postings")
-    hits = index.join(sought, "term").select("doc_id", "item_id", "at", (F.col("pos") - F.col("at")).alias("offset"))
-    # offsets of one quotation drift by a word or two at each difference: two overlapping grids of offsets
-    width = 4 * (leak.gap + 1)
-    both = hits.select("doc_id", "item_id", "at", F.explode(F.array(F.floor(F.col("offset") / width) * 2, F.floor((F.col("offset") + width // 2) / width) * 2 + 1)).alias("cell"))
-    agreed = both.groupBy("doc_id", "item_id", "cell").agg(F.count_distinct("at").alias("n")).where(F.col("n") >= leak.hits)
-    pairs = agreed.select("doc_id", "item_id").distinct()
-    per_doc = pairs.groupBy("doc_id").agg(F.collect_set("item_id").alias("items"))  # at most as many as there are items
-    held = texts.dropDuplicates(["doc_id"]).join(per_doc, "doc_id").select("doc_id", "w", F.explode("items").alias("item_id")).join(listed, "item_id")
-
-    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            keep = []
-            for w, item in zip(b["w"], b["item_w"]):
-                n, skipped = overlap(list(item), list(w), leak.gap)
-                keep.append(n >= leak.min_words and skipped <= leak.skipped * n)
-            yield b.loc[keep, ["doc_id", "item_id"]]
-
-    return held.select("doc_id", "item_id", "w", "item_w").mapInPandas(verified, "doc_id long, item_id long")
-
+    keys = items.where("item_id is not null and item_text is not null").select("item_id", "item_text").dropDuplicates(["item_id"])
+    keys = staged(keys.withColumn("block", F.floor((F.row_number().over(Window.orderBy("item_id")) - 1) / leak.block)), "items")
+    found = None
+    for block in range((keys.agg(F.max("block")).first()[0] or 0) + 1):
+        # one block of the stated query set: at most leak.block items
+        listed = {r["item_id"]: words(r["item_text"]) for r in keys.where(F.col("block") == block).toLocalIterator()}
+        listed = {i: w for i, w in listed.items() if len(w) >= leak.min_words}
+        vocabulary = {w: k for k, w in enumerate(sorted({w for ws in listed.values() for w in ws}))}
+        index = build_index(documents, vocabulary)
+        frequency = np.zeros(len(vocabulary) + 1, np.int64)
+        for term, n in index.select(F.explode(F.array_distinct("terms"))).groupBy("col").count().toLocalIterator():
+            frequency[term] = n
+        part = index.mapInPandas(_search({i: [vocabulary[w] for w in ws] for i, ws in listed.items()}, frequency, leak), "doc_id long, item_id long")
+        found = part if found is None else found.unionByName(part)
+    return found.distinct()
