@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalink.llm.canonical_names import match_names
 from catalink.llm.components import components, encoded
 from catalink.llm.leakage import leaks
+from catalink.llm.linking import link, records
 from catalink.llm.spans import coverage, shared_pairs
 from catalink.llm.survivors import FIELDS, bare_doi, long_rows, survivors
 from catalink.sources.tables import staged, table
@@ -53,6 +54,20 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
     return others.unionByName(tops).select(F.col("node").alias("isi_id"), F.col("component").alias("group_id"))
 
 
+def p7_matches(spark: SparkSession, base: str) -> DataFrame:
+    """Pairs of records of the same publication with a confidence."""
+    isi = table(spark, base, "isi_documents", "id", "title", "journal", "year", "doi", "author", "volume", "number", "pages")
+    scopus = table(spark, base, "scopus_documents", "id", "title", "source_title", "year", "doi", "authors", "volume", "issue", "page_start")
+    left = records(isi, key="id", title="title", journal="journal", year="year", doi="doi", authors="author", volume="volume", issue="number", page="pages")
+    right = records(scopus, key="id", title="title", journal="source_title", year="year", doi="doi", authors="authors", volume="volume", issue="issue", page="page_start")
+    return link(left, right).select(F.col("l").alias("isi_id"), F.col("r").alias("scopus_id"), "confidence")
+
+
+def p7_found(spark: SparkSession, base: str) -> DataFrame:
+    """Pairs of records of the same publication."""
+    return p7_matches(spark, base).select("isi_id", "scopus_id")
+
+
 def p8_found(spark: SparkSession, base: str) -> DataFrame:
     """Documents that leak evaluation items."""
     return leaks(table(spark, base, "documents", "doc_id", "text"), table(spark, base, "eval_items", "item_id", "item_text"))
@@ -69,7 +84,7 @@ def p10_coverage(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p8_found, p10_found, p10_coverage)}
+    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p7_found, p7_matches, p8_found, p10_found, p10_coverage)}
 
 
 def oracle_sql() -> dict[str, str]:
