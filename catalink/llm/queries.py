@@ -9,8 +9,11 @@ from catalink.llm.canonical_names import match_names
 from catalink.llm.components import components, encoded
 from catalink.llm.leakage import leaks
 from catalink.llm.linking import link, records
+from catalink.llm.mixing import mixed, shares, token_lengths
+from catalink.llm.name_variants import organisation_entities, person_entities, variant_pairs
 from catalink.llm.spans import coverage, shared_pairs
 from catalink.llm.survivors import FIELDS, bare_doi, long_rows, survivors
+from catalink.operators.packed import LAYOUTS, unpack
 from catalink.sources.tables import staged, table
 
 
@@ -54,6 +57,16 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
     return others.unionByName(tops).select(F.col("node").alias("isi_id"), F.col("component").alias("group_id"))
 
 
+def p5_found(spark: SparkSession, base: str) -> DataFrame:
+    """Pairs of spellings of one person or organisation."""
+    authors = unpack(table(spark, base, "isi_documents", "id", "author"), "id", "author", LAYOUTS["author"])
+    persons = staged(authors.select(F.col("item_value").alias("name")).distinct(), "names")
+    isi = table(spark, base, "isi_documents", "affiliation").select(F.col("affiliation").alias("name"))
+    organisations = isi.unionByName(table(spark, base, "organizes", "name")).where(F.trim("name") != "").distinct()
+    found = variant_pairs(person_entities(persons)).select(F.lit("person").alias("kind"), "name_a", "name_b")
+    return found.unionByName(variant_pairs(organisation_entities(organisations)).select(F.lit("organisation").alias("kind"), "name_a", "name_b"))
+
+
 def p7_matches(spark: SparkSession, base: str) -> DataFrame:
     """Pairs of records of the same publication with a confidence."""
     isi = table(spark, base, "isi_documents", "id", "title", "journal", "year", "doi", "author", "volume", "number", "pages")
@@ -73,6 +86,17 @@ def p8_found(spark: SparkSession, base: str) -> DataFrame:
     return leaks(table(spark, base, "documents", "doc_id", "text"), table(spark, base, "eval_items", "item_id", "item_text"))
 
 
+def p9_mix(spark: SparkSession, base: str) -> DataFrame:
+    """The documents of the mix and how often each is used."""
+    lengths = token_lengths(table(spark, base, "documents", "doc_id", "source", "text"))
+    return mixed(lengths, table(spark, base, "mix_targets", "source", "target_share", "max_repeats"))
+
+
+def p9_shares(spark: SparkSession, base: str) -> DataFrame:
+    """The shares of the sources that the mix actually reaches."""
+    return shares(p9_mix(spark, base), table(spark, base, "mix_targets", "source", "target_share", "max_repeats"))
+
+
 def p10_found(spark: SparkSession, base: str) -> DataFrame:
     """Pairs of documents that share a span of 300 characters."""
     return shared_pairs(table(spark, base, "documents", "doc_id", "text"))
@@ -84,7 +108,7 @@ def p10_coverage(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p7_found, p7_matches, p8_found, p10_found, p10_coverage)}
+    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p7_found, p7_matches, p8_found, p9_mix, p9_shares, p10_found, p10_coverage)}
 
 
 def oracle_sql() -> dict[str, str]:
