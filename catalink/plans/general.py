@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from catalink.operators.nested import flatten_authors
 from catalink.operators.packed import LAYOUTS, unpack_fields
+from catalink.plans import sql
 from catalink.sources.tables import one_per_key, staged, table
 
 
@@ -27,4 +28,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p1_found": sql.packed(), "p6_found": sql.nested()}
