@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalink.llm import sql
 from catalink.llm.canonical_names import match_names
 from catalink.llm.components import components, encoded
 from catalink.llm.leakage import leaks
@@ -112,4 +113,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
