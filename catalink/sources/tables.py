@@ -62,3 +62,9 @@ def one_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     rank = F.struct(*(F.col(c) for c in order), *(F.col(c) for c in rest if c not in order))
     best = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
     return best.select(key, "_row.*")
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Deletes what ``staged`` wrote; results that still read it break."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/catalink")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
