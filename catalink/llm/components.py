@@ -77,11 +77,15 @@ def components(edges: DataFrame, src: str, dst: str, max_edges: int = 1_000_000,
     for _ in range(max_rounds):
         parts = max(1, -(-stars.count() // max_edges))
         stars = staged(stars.select("node", "root").repartition(parts, "node").mapInPandas(_forest, STAR), "forest")
-        moved = stars.where("moved").select(F.col("node").alias("root"), F.col("root").alias("_next"))
-        if parts == 1 or moved.isEmpty():
+        if parts == 1:
             break
-        # a root united in another partition: follow it there
-        stars = staged(stars.join(moved, "root", "left").select("node", F.coalesce("_next", "root").alias("root")), "followed")
+        # roots that point on themselves: follow them; nodes united away from
+        # their own partition stand twice and meet there next round
+        roots = stars.select("root").distinct()
+        on = staged(stars.join(roots.withColumnRenamed("root", "node"), "node", "left_semi").groupBy("node").agg(F.min("root").alias("_next")), "roots")
+        if on.isEmpty() and stars.where("moved").isEmpty():
+            break
+        stars = staged(stars.join(on.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("_next", "root").alias("root")), "followed")
     else:
         raise RuntimeError("the components did not settle")
     member = stars.select("node", F.col("root").alias("component"))

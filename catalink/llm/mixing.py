@@ -158,10 +158,11 @@ def mixed(lengths: DataFrame, targets: DataFrame, total: int | None = None, seed
     ``target_share``, ``max_repeats`` and is small by nature (one row per
     source). Sources without a target, null sources and documents without
     tokens are not used. Among documents of one length the seeded order of
-    their ids decides. Empty tables give an empty mix.
+    their ids decides; of rows with one id the longest counts. Empty tables give
+    an empty mix.
     """
     spark = lengths.sparkSession
-    rows = staged(lengths.where("source is not null and doc_id is not null and n_tokens > 0").dropDuplicates(["doc_id"]), "lengths")
+    rows = staged(lengths.where("source is not null and doc_id is not null and n_tokens > 0").groupBy("doc_id").agg(F.max(F.struct("n_tokens", "source")).alias("x")).select("doc_id", "x.source", "x.n_tokens"), "lengths")
     wanted = {r["source"]: (r["target_share"] or 0.0, r["max_repeats"] or 0) for r in targets.where("source is not null").toLocalIterator()}
     # as many rows as there are different lengths, not documents
     counts = [(r["source"], r["n_tokens"], r["count"]) for r in rows.groupBy("source", "n_tokens").count().toLocalIterator()]

@@ -61,9 +61,9 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
     """Pairs of spellings of one person or organisation."""
     authors = unpack(table(spark, base, "isi_documents", "id", "author"), "id", "author", LAYOUTS["author"])
-    persons = staged(authors.select(F.col("item_value").alias("name")).distinct(), "names")
+    persons = authors.select(F.col("item_value").alias("name"))
     isi = table(spark, base, "isi_documents", "affiliation").select(F.col("affiliation").alias("name"))
-    organisations = isi.unionByName(table(spark, base, "organizes", "name")).where(F.trim("name") != "").distinct()
+    organisations = isi.unionByName(table(spark, base, "organizes", "name")).where(F.trim("name") != "")
     found = variant_pairs(person_entities(persons)).select(F.lit("person").alias("kind"), "name_a", "name_b")
     return found.unionByName(variant_pairs(organisation_entities(organisations)).select(F.lit("organisation").alias("kind"), "name_a", "name_b"))
 
