@@ -1,7 +1,7 @@
 import pytest
 
 from catalink.llm.canonical_names import match_names
-from catalink.llm.linking import link, records
+from catalink.llm.linking import Linkage, link, records
 from catalink.llm.name_variants import organisation_entities, parse_persons, person_entities, variant_pairs
 
 REFERENCE = ["Advances in Orchard Thermodynamics", "Journal of Saline Pedology", "Journal of Alpine Pedology and Optics", "Archives of Loess Seismology", "Proceedings of Volcanic Pedology"]
@@ -93,11 +93,12 @@ SIDE = "id long, title string, journal string, year string, doi string, author s
 ALL = dict(key="id", title="title", journal="journal", year="year", doi="doi", authors="author", volume="volume", issue="number", page="pages")
 
 
-def linked(frame, left, right):
-    return sorted((r["l"], r["r"]) for r in link(records(frame(left, SIDE), **ALL), records(frame(right, SIDE), **ALL)).collect())
+def linked(frame, left, right, rule=Linkage()):
+    return sorted((r["l"], r["r"]) for r in link(records(frame(left, SIDE), **ALL), records(frame(right, SIDE), **ALL), rule).collect())
 
 
-def test_linking(frame):
+@pytest.mark.parametrize("hot", [0, 1_000_000])
+def test_linking(frame, hot):
     title = "Residual drainage of clay and gravel in northern terraces: a kriging study"
     base = (title, "Journal of Soils", "2018", "10.1234/abc", "Ann Leedy and Bo Norgat", "12", "3", "100-110")
     right = [
@@ -117,8 +118,16 @@ def test_linking(frame):
         (7, "", "", "", "", "", "", "", ""),
         (1, title.upper(), "J. Soils", "2018", "https://doi.org/10.1234/ABC", "Leedy, A.", "12", "3", "100"),
     ]
-    assert linked(frame, left, right) == [(1, 1001), (2, 1001), (3, 1002), (4, 1003), (5, 1001)]
+    assert linked(frame, left, right, Linkage(hot=hot)) == [(1, 1001), (2, 1001), (3, 1002), (4, 1003), (5, 1001)]
 
 
 def test_linking_of_nothing(frame):
     assert linked(frame, [], [(1, "t", None, None, None, None, None, None, None)]) == []
+
+
+def test_general_titles(frame):
+    people = ["Krumholt", "Baxendale", "Osterwig", "Fennimore", "Zdrojewski", "Quillash", "Tamberlin", "Huxtrave"]
+    some = lambda key, k, who: (key, "Preface to the special issue", f"Notes of {who}", str(1980 + k), None, f"A. {who}", str(k), None, str(k * 10 + 1))
+    left = [some(i, i, people[i]) for i in range(8)]
+    right = [some(i + 1000, i + 20, people[i - 1]) for i in range(8)] + [some(2003, 3, people[3])]
+    assert linked(frame, left, right) == [(3, 2003)]
