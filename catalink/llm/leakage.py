@@ -18,9 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalink.operators.numbering import numbered
 from catalink.sources.tables import staged
 
 WORD = re.compile(r"[^\W_]+")
@@ -183,7 +184,7 @@ def leaks(documents: DataFrame, items: DataFrame, leak: Leak = Leak()) -> DataFr
     searched whole.
     """
     keys = items.where("item_id is not null and item_text is not null").select("item_id", "item_text").dropDuplicates(["item_id"])
-    keys = staged(keys.withColumn("block", F.floor((F.row_number().over(Window.orderBy("item_id")) - 1) / leak.block)), "items")
+    keys = staged(numbered(keys, ["item_id"], "number").withColumn("block", F.floor((F.col("number") - 1) / leak.block)), "items")
     found = None
     for block in range((keys.agg(F.max("block")).first()[0] or 0) + 1):
         # one block of the stated query set: at most leak.block items
