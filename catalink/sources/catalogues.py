@@ -77,7 +77,7 @@ def resume_from(df: DataFrame, key: str, start: int) -> DataFrame:
     return df.where(F.col(key) >= start)
 
 
-def missing_ids(df: DataFrame, key: str, buckets: int = 1000) -> DataFrame:
+def missing_ids(df: DataFrame, key: str, buckets: int = 1_000_000) -> DataFrame:
     """``missing_id``: whole numbers from 0 up to the largest id that are no id.
 
     Ids are compared with their predecessor inside ranges of ids, and ranges by
