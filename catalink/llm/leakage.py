@@ -124,10 +124,10 @@ def _search(items: dict[int, list[int]], frequency: np.ndarray, leak: Leak):
         padded[k, : len(items[i])] = items[i]
 
     def candidates(t: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """(item, offset cell) where rare terms of an item agree in this document."""
+        """Items whose rare terms agree on their offset in this document."""
         n = begin[t + 1] - begin[t]
         if not n.sum():
-            return np.empty((0, 2), np.int64)
+            return np.empty(0, np.int64)
         hit = np.repeat(begin[t] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         held = np.zeros(len(frequency), bool)
         held[t] = True
@@ -137,17 +137,24 @@ def _search(items: dict[int, list[int]], frequency: np.ndarray, leak: Leak):
         offset = p - place[hit] + (1 << 20)
         # drift of a word or two at each difference: two overlapping grids of offsets
         cell = np.concatenate([offset // width * 2, (offset + width // 2) // width * 2 + 1])
-        key = np.unique((np.tile(number[hit], 2) << 40 | cell) << 12 | np.tile(place[hit], 2) & 4095) >> 12
+        key = np.unique((np.tile(number[hit], 2) << 28 | cell) << 16 | np.tile(place[hit], 2) & 65535) >> 16
         cells, times = np.unique(key, return_counts=True)
-        cells = cells[times >= leak.hits]
-        return np.stack([cells >> 40, cells & ((1 << 40) - 1)], axis=1)
-
-    def dense(k: int, cell: int, t: np.ndarray, p: np.ndarray) -> bool:
-        """Whether enough words of the item stand near the offsets of the cell."""
-        low = cell // 2 * width - (width // 2) * (cell % 2) - (1 << 20) - width
-        at, j = np.nonzero(padded[k][:, None] == t[None, :])
-        offset = p[j] - at
-        return len(np.unique(at[(offset >= low) & (offset < low + 3 * width)])) >= leak.min_words
+        return np.unique(cells[times >= leak.hits] >> 28)
+
+    def dense(ks: np.ndarray, t: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Those of the items of which enough words stand at nearly one offset."""
+        order = np.argsort(t, kind="stable")
+        t, p = t[order], p[order]
+        item = padded[ks]
+        low = np.searchsorted(t, item).ravel()
+        n = np.searchsorted(t, item, "right").ravel() - low
+        hit = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        at = np.repeat(np.tile(np.arange(longest), len(ks)), n)
+        which = np.repeat(np.repeat(np.arange(len(ks)), longest), n)
+        offset = p[hit] - at + (1 << 20)
+        cell = np.concatenate([offset // (2 * width) * 2, (offset + width) // (2 * width) * 2 + 1])
+        cells, times = np.unique(np.unique((np.tile(which, 2) << 28 | cell) << 16 | np.tile(at, 2) & 65535) >> 16, return_counts=True)
+        return ks[np.unique(cells[times >= leak.min_words] >> 28)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -156,16 +163,14 @@ def _search(items: dict[int, list[int]], frequency: np.ndarray, leak: Leak):
                 t, p = np.asarray(t, np.int64), np.asarray(p, np.int64)
                 if len(t) < leak.min_words:
                     continue
-                places: dict[int, list[int]] | None = None
-                done: set[int] = set()
-                for k, cell in candidates(t, p).tolist():
-                    if k in done or not dense(k, cell, t, p):
-                        continue
-                    if places is None:
-                        places = {}
-                        for w, q in zip(t.tolist(), p.tolist()):
-                            places.setdefault(w, []).append(q)
-                    done.add(k)
+                near = candidates(t, p)
+                near = dense(near, t, p) if len(near) else near
+                if not len(near):
+                    continue
+                places: dict[int, list[int]] = {}
+                for w, q in zip(t.tolist(), p.tolist()):
+                    places.setdefault(w, []).append(q)
+                for k in near.tolist():
                     n, skipped = overlap(items[ids[k]], places, leak.gap)
                     if n >= leak.min_words and skipped <= leak.skipped * n:
                         out.append((doc, ids[k]))
