@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from catalink.sources.tables import staged
 
+#: Characters of a text that are hashed at a time.
+SEGMENT = 200_000
 #: A perfect difference set modulo 133 (12 members).
 COVER_133 = (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
 
@@ -35,17 +37,25 @@ class Cover:
             raise ValueError("not a difference cover: some shift has no two members")
 
 
-def window_hashes(codes: np.ndarray, width: int, at: np.ndarray, base: int = 0x9E3779B97F4A7C15 | 1) -> np.ndarray:
+BASE = 0x9E3779B97F4A7C15
+
+
+def powers_of(base: int, n: int) -> np.ndarray:
+    """1, base, base squared, ... modulo 2**64: ``n + 1`` of them."""
+    with np.errstate(over="ignore"):
+        return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]), dtype=np.uint64)
+
+
+def window_hashes(codes: np.ndarray, width: int, at: np.ndarray, powers: np.ndarray | None = None, back: np.ndarray | None = None) -> np.ndarray:
     """64-bit hashes of the windows of ``width`` codes that begin at ``at``.
 
     Sums of codes times powers of an odd base, wrapping; dividing by the power
-    at the window's begin makes them independent of the position.
+    at the window's begin (``back``) makes them independent of the position.
     """
+    n = len(codes)
+    powers = powers_of(BASE, n) if powers is None else powers
+    back = powers_of(pow(BASE, -1, 1 << 64), n) if back is None else back
     with np.errstate(over="ignore"):
-        n = len(codes)
-        powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]), dtype=np.uint64)
-        inverse = np.uint64(pow(base, -1, 1 << 64))
-        back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, inverse, np.uint64)]), dtype=np.uint64)
         mixed = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         mixed ^= mixed >> np.uint64(32)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * powers[:n], dtype=np.uint64)])
@@ -55,30 +65,47 @@ def window_hashes(codes: np.ndarray, width: int, at: np.ndarray, base: int = 0x9
 
 
 def _anchors(min_chars: int, cover: Cover, context: bool):
+    """The function that hashes the windows on the cover of batches of texts."""
     width, reach = min_chars - cover.period + 1, cover.period - 1
     members = np.array(cover.members)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        powers, back = powers_of(BASE, SEGMENT + width), powers_of(pow(BASE, -1, 1 << 64), SEGMENT + width)
         for b in batches:
+            held: list[tuple] = []
+            rows = 0
             for doc, text in zip(b["doc_id"], b["text"]):
                 n = len(text)
                 if n < min_chars:
                     continue
                 codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-                rounds = np.arange(0, n, cover.period)
-                at = (rounds[:, None] + members[None, :]).ravel()
-                at = np.sort(at[at <= n - width])
-                for k in range(0, len(at), 20_000):
-                    part = at[k : k + 20_000]
-                    out = {"doc_id": doc, "pos": part, "hash": window_hashes(codes, width, part)}
-                    if context:
-                        out["before"] = [text[max(0, p - reach) : p] for p in part]
-                        out["body"] = [text[p : p + width + reach] for p in part]
-                    yield pd.DataFrame(out)
+                for s in range(0, n - width + 1, SEGMENT):
+                    rounds = np.arange(s - s % cover.period, min(s + SEGMENT, n), cover.period)
+                    part = (rounds[:, None] + members[None, :]).ravel()
+                    part = part[(part >= s) & (part < s + SEGMENT) & (part <= n - width)]
+                    if not len(part):
+                        continue
+                    hashes = window_hashes(codes[s : s + SEGMENT + width], width, part - s, powers, back)
+                    around = ([text[max(0, p - reach) : p] for p in part], [text[p : p + width + reach] for p in part]) if context else ()
+                    held.append((np.full(len(part), doc), part, hashes, *around))
+                    rows += len(part)
+                    if rows > 20_000:
+                        yield _frame(held)
+                        held, rows = [], 0
+            if held:
+                yield _frame(held)
 
     return run
 
 
+def _frame(held: list[tuple]) -> pd.DataFrame:
+    columns = list(zip(*held))
+    out = {name: np.concatenate(c) for name, c in zip(("doc_id", "pos", "hash"), columns)}
+    for name, c in zip(("before", "body"), columns[3:]):
+        out[name] = [x for part in c for x in part]
+    return pd.DataFrame(out)
+
+
 def shared_spans(documents: DataFrame, min_chars: int = 300, cover: Cover = Cover()) -> DataFrame:
     """Spans shared by two different texts: ``rep_a`` < ``rep_b``, ``start_a``, ``start_b``, ``length``.
 
