@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalink.operators.packed import LAYOUTS, Layout, split_values
-from catalink.sources.tables import broadcast_if_small
+from catalink.sources.tables import broadcast_if_small, staged
 
 #: Contents that say there is none.
 PLACEHOLDERS = ("", "na", "none", "null", "nil", "unknown", "nonegiven", "notgiven", "notavailable", "noabstractavailable", "noabstract", "nokeywords", "tba", "tbd", "pending", "missing")
@@ -74,6 +74,7 @@ def survivors(groups: DataFrame, rows: DataFrame, boilerplate_at: int = 5, half_
     Nulls are no content; among equal contents the latest record wins, then
     the smallest key. Empty tables give no rows.
     """
+    rows = staged(rows, "features")
     members = groups.where("group_key is not null and record is not null").select("group_key", "record").distinct()
     several = members.groupBy("group_key").agg(F.min("record").alias("_a"), F.max("record").alias("_b")).where("_a < _b").select("group_key")
     notices = rows.where("prose and fullness > 0").groupBy("field_name", "content").agg(F.count("*").alias("_n")).where(F.col("_n") >= boilerplate_at).select("field_name", "content", F.lit(True).alias("_notice"))
