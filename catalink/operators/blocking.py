@@ -30,13 +30,16 @@ def _weight(n: Column, average: Column) -> Column:
     return idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / average))
 
 
-def candidates(left: DataFrame, right: DataFrame, k: int = 10, frequent: float = 0.1, least: int = 50, lk: str = "id", lt: str = "title", rk: str = "id", rt: str = "title") -> DataFrame:
+def candidates(left: DataFrame, right: DataFrame, k: int = 10, frequent: float = 0.1, least: int = 50, broadcast: int = 2_000_000, lk: str = "id", lt: str = "title", rk: str = "id", rt: str = "title") -> DataFrame:
     """``left_id``, ``right_id``, ``score`` (6 decimals), ``rank`` (1 to ``k``).
 
     A word counts as often as the left text repeats it. Ties go to the smaller
     right id. Records without words have no candidates; empty sides give none.
     ``frequent``: words in more than this part of the right records (and in
-    more than ``least``) are looked at last.
+    more than ``least``) are looked at last. Up to ``broadcast`` postings of the
+    right side are sent to all executors: then the pairs of a left record are
+    made and summed in one place, and only its words are shuffled. Beyond, both
+    sides meet by word.
     """
     postings = staged(index(right, rk, rt), "postings")
     size = postings.select("key", "dl").distinct().agg(F.count("*").alias("n"), F.avg("dl").alias("a")).first()
@@ -45,25 +48,36 @@ def candidates(left: DataFrame, right: DataFrame, k: int = 10, frequent: float =
     often = F.col("df") > max(least, frequent * (size["n"] or 0))
     weighed = postings.join(df, "term").select("key", "term", _weight(n, average).alias("w"), often.alias("often"))
     weighed = staged(weighed, "weighed")
+    near = weighed.count() <= broadcast
+    lists = F.broadcast if near else (lambda x: x)
     tops = broadcast_if_small(weighed.where("often").groupBy("term").agg(F.max("w").alias("top")), 100_000)
     words = left.select(F.col(lk).alias("left_id"), F.explode(search_terms(F.col(lt))).alias("term")).groupBy("left_id", "term").agg(F.count("*").alias("qf"))
     words = staged(words, "words")
+    if near:  # a number of its own, else the few words would end up in one task
+        words = words.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "left_id")
 
-    rare = words.join(weighed.where("not often"), "term").groupBy("left_id", F.col("key").alias("right_id")).agg(F.sum(F.col("qf") * F.col("w")).alias("s"))
+    rare = words.join(lists(weighed.where("not often")), "term").groupBy("left_id", F.col("key").alias("right_id")).agg(F.sum(F.col("qf") * F.col("w")).alias("s"))
     rare = staged(rare, "rare")
     reach = words.join(tops, "term").groupBy("left_id").agg(F.sum(F.col("qf") * F.col("top")).alias("reach"))
     place = F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("s"), "right_id"))
     kth = rare.withColumn("p", place).where(F.col("p") == k).select("left_id", F.col("s").alias("kth"))
     bound = words.select("left_id").distinct().join(reach, "left_id", "left").join(kth, "left_id", "left").select("left_id", F.coalesce("reach", F.lit(0.0)).alias("reach"), F.col("kth"))
     bound = staged(bound, "bounds")
+    few = F.broadcast if bound.count() <= broadcast else (lambda x: x)
     settled = bound.where((F.col("kth") > F.col("reach") + 1e-5) | (F.col("reach") == 0))
     # settled: a record that is no candidate by rare words cannot come in, and one
     # that lacks more than the frequent words can add cannot either
-    kept = rare.join(settled, "left_id").where(F.col("kth").isNull() | (F.col("s") + F.col("reach") + 1e-5 >= F.col("kth"))).select("left_id", "right_id", "s")
-    extra = kept.select("left_id", "right_id").join(words, "left_id").join(tops.select("term"), "term").join(weighed.where("often").withColumnRenamed("key", "right_id"), ["right_id", "term"]).groupBy("left_id", "right_id").agg(F.sum(F.col("qf") * F.col("w")).alias("e"))
+    kept = rare.join(few(settled), "left_id").where(F.col("kth").isNull() | (F.col("s") + F.col("reach") + 1e-5 >= F.col("kth"))).select("left_id", "right_id", "s")
+    extra = kept.select("left_id", "right_id").join(words, "left_id").join(tops.select("term"), "term").join(lists(weighed.where("often").withColumnRenamed("key", "right_id")), ["right_id", "term"]).groupBy("left_id", "right_id").agg(F.sum(F.col("qf") * F.col("w")).alias("e"))
     first = kept.join(extra, ["left_id", "right_id"], "left").select("left_id", "right_id", (F.col("s") + F.coalesce("e", F.lit(0.0))).alias("score"))
-    open_ = words.join(settled.select("left_id"), "left_id", "left_anti")
-    second = open_.join(weighed, "term").groupBy("left_id", F.col("key").alias("right_id")).agg(F.sum(F.col("qf") * F.col("w")).alias("score"))
-    scored = first.unionByName(second).withColumn("score", F.round("score", 6))
-    rank = F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("score"), "right_id"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    open_ = words.join(few(settled.select("left_id")), "left_id", "left_anti")
+    second = open_.join(lists(weighed), "term").groupBy("left_id", F.col("key").alias("right_id")).agg(F.sum(F.col("qf") * F.col("w")).alias("score"))
+
+    def top(scored: DataFrame) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("score"), "right_id"))
+        return scored.withColumn("score", F.round("score", 6)).withColumn("rank", rank).where(F.col("rank") <= k)
+
+    # a score below the k-th by rare words alone is not in the top
+    reached = lambda scored: scored.join(few(bound.select("left_id", "kth")), "left_id").where(F.col("kth").isNull() | (F.col("score") + 1e-5 >= F.col("kth"))).drop("kth")
+    # every left record is in one of them
+    return top(reached(first)).unionByName(top(reached(second)))
