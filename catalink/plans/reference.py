@@ -224,13 +224,11 @@ def merge_log(spark: SparkSession, base: str) -> DataFrame:
 
 
 def best_journal(spark: SparkSession, base: str) -> DataFrame:
-    """For each typed journal the nearest of those that begin alike."""
+    """For each typed journal the nearest of all known ones, the smallest id of equals."""
     typed = table(spark, base, "isi_documents", "journal").where(F.trim("journal") != "").distinct().withColumn("a", tx.ascii_fold(F.col("journal")))
     known = table(spark, base, "journals", "id", "name").where(F.trim("name") != "").withColumn("b", tx.ascii_fold(F.col("name")))
-    key = lambda c: F.substring(tx.alnum_key(F.col(c)), 1, 8)
-    pairs = typed.withColumn("key", key("a")).join(known.withColumn("key", key("b")), "key").withColumn("score", _score(sim.lev_sim(F.col("a"), F.col("b"))))
-    place = F.row_number().over(Window.partitionBy("journal").orderBy(F.desc("score"), "id"))
-    return pairs.withColumn("place", place).where("place = 1").select("journal", F.col("id").alias("journal_id"), "score")
+    best = canonical.nearest_names(staged(typed, "typed"), known.select("id", "b"))
+    return best.select("journal", F.col("id").alias("journal_id"), "score")
 
 
 def journal_by_issn(spark: SparkSession, base: str) -> DataFrame:

@@ -163,6 +163,19 @@ def test_nested_set_and_issn(frame):
     assert [tuple(r) for r in got.collect()] == [(1, 6)]
 
 
+def test_nearest_names_as_one_by_one(frame):
+    known = ["Advances in Orchard Thermodynamics", "Journal of Soils", "Journal of Soil Science", "Water", "Water Research", ""]
+    typed = ["Advanes in Orchard Thermodynamics", "The Journal of Soils", "J. Soils", "Water Reserch", "Journal of Soils", "Xyz", ""]
+    got = {r["a"]: (r["id"], r["score"]) for r in canonical.nearest_names(frame([(t,) for t in typed], "a string"), frame(list(enumerate(known)), "id long, b string")).collect()}
+
+    def score(a, b):
+        n = max(len(a), len(b))
+        return round(1 - sim.edit_distance(a, b) / n, 6) if n else 0.0
+
+    assert got == {t: max(((i, score(t, k)) for i, k in enumerate(known)), key=lambda x: (x[1], -x[0])) for t in typed}
+    assert canonical.nearest_names(frame([("a",)], "a string"), frame([], "id long, b string")).count() == 0
+
+
 # numbers and slugs -----------------------------------------------------------------
 
 
