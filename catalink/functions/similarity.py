@@ -339,6 +339,30 @@ def same_person_name(a: Column, b: Column, distance: float = 0.4) -> Column:
     return token_lcs_sim(a, b) >= 1 - distance
 
 
+@pandas_udf(LongType())
+def _people_met(a: pd.Series, b: pd.Series, x: pd.Series, y: pd.Series, least: pd.Series) -> pd.Series:
+    known: dict[tuple[str, str], bool] = {}
+
+    def alike(p, q, s, t, at_least) -> bool:
+        if p is None or q is None:
+            return False
+        if (p, q) not in known:
+            known[p, q] = p == q or _token_score(s, t, lambda m, n: lcs_length(m, n) / max(len(m), len(n))) >= at_least
+        return known[p, q]
+
+    def met(names, others, words, other_words, at_least) -> int:
+        return sum(any(alike(p, q, s, t, at_least) for p, s in zip(names, words)) for q, t in zip(others, other_words))
+
+    return pd.Series([None if p is None or q is None else met(p, q, s, t, k) for p, q, s, t, k in zip(a, b, x, y, least)], dtype="Int64")
+
+
+def people_met(a: Column, b: Column, distance: float = 0.4) -> Column:
+    """How many names of ``b`` are the same person's as one of ``a``, by
+    ``same_person_name``; each counts once, and one of ``a`` may meet several."""
+    words = lambda x: F.transform(x, word_tokens)
+    return _people_met(a, b, words(a), words(b), F.lit(1 - distance))
+
+
 def register(spark: SparkSession) -> list[str]:
     """Makes the similarities callable from SQL; returns their names.
 

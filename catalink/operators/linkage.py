@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalink.functions.similarity import title_sim, token_lcs_sim
+from catalink.functions.similarity import people_met, title_sim, token_lcs_sim
 from catalink.functions.text import ascii_fold, is_doi, parse_year
 from catalink.operators.blocking import candidates
 from catalink.sources.tables import staged
@@ -90,13 +90,10 @@ def outcome(left: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def same_authors(a: Column, b: Column, least: float = 0.8) -> Column:
-    """Whether more than ``least`` of the shorter of two author lists have their like
-    in the other, by folded name; sizes are those of the whole lists."""
+    """Whether more than ``least`` of the shorter of two author lists are met: names
+    of ``b`` that are the same person's as one of ``a``; sizes are those of the whole lists."""
     n = F.least(F.size(a), F.size(b))
-    fold = lambda x: F.lower(ascii_fold(x))
-    x, y = F.transform(a, fold), F.transform(b, fold)
-    met = F.size(F.filter(x, lambda p: F.array_contains(y, p)))
-    return F.coalesce((n > 0) & (met / F.greatest(n, F.lit(1)) > least), F.lit(False))
+    return F.coalesce((n > 0) & (people_met(a, b) / F.greatest(n, F.lit(1)) > least), F.lit(False))
 
 
 def link_comparison(given: DataFrame, found: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,34 @@ def test_same_authors_and_comparison(frame):
     assert sorted((r["left_id"], r["status"]) for r in linkage.link_comparison(a, b).collect()) == [(1, "only_given"), (3, "different"), (4, "only_found")]
 
 
+def test_same_authors_by_name_similarity(frame):
+    lists = [
+        (["William R. Sun", "Ann Lee"], ["William Rose Sun", "Anna Lee"]),
+        (["Ann Maria Lee"], ["Ann Marja Lee"]),
+        (["Ann Lee"], ["Bob Lee"]),
+        (["Ann Lee", "Bob Fox"], ["Ann Lee", "Anna Lee"]),
+        (["Ann Lee", None], ["Anna Lee", None]),
+        (["Lý Thị Hòa", "Bob Fox"], ["Ly Thi Hoa", "B Fox", "Carl Ox"]),
+        ([], ["Ann Lee"]),
+    ]
+    got = [r[0] for r in frame(lists, "a array<string>, b array<string>").select(linkage.same_authors(F.col("a"), F.col("b"))).collect()]
+
+    def same(p, q):
+        if p is None or q is None:
+            return False
+        x, y = sim.paired_tokens(plain_tokens(p), plain_tokens(q))
+        return p == q or bool(x and y) and sim.lcs_length(x, y) / max(len(x), len(y)) >= 0.6
+
+    def one_by_one(a, b):
+        left, met = list(b), 0
+        for p in a:
+            gone = [q for q in left if same(p, q)]
+            met, left = met + len(gone), [q for q in left if not same(p, q)]
+        return bool(a and b) and met / min(len(a), len(b)) > 0.8
+
+    assert got == [one_by_one(a, b) for a, b in lists] == [True, True, False, True, False, True, False]
+
+
 # canonicalisation ------------------------------------------------------------------
 
 
@@ -130,6 +159,10 @@ def tokens(name):
     return [w for w in re.split(r"[^A-Za-z0-9_']+", name.lower()) if w and w not in STOP_WORDS]
 
 
+def plain_tokens(name):
+    return tokens("".join(c for c in unicodedata.normalize("NFD", name) if c.isascii()))
+
+
 def test_journals_and_organisations_as_one_by_one(frame):
     rng = random.Random(8)
     words = ["Journal", "J", "Soil", "Soils", "Science", "Sci", "Water", "Wat", "Energy", "Review", "Rev", "Applied"]
