@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalink.llm.components import components
 from catalink.operators.packed import LAYOUTS, Layout, split_values
 from catalink.sources.tables import broadcast_if_small, staged
 
@@ -64,12 +65,24 @@ def long_rows(records: DataFrame, key: str, seen_at: str, trust: Column, fields:
     return rows.where("record is not null").groupBy("record", "field_name").agg(best).select("record", "field_name", "x.*")
 
 
+def _publications(members: DataFrame) -> DataFrame:
+    """``record``, ``publication`` of the records in groups; groups that have a
+    record in common are one publication."""
+    by = members.groupBy("record").agg(F.min(F.xxhash64("group_key")).alias("first"), F.max(F.xxhash64("group_key")).alias("last"))
+    by = staged(by, "publications")
+    joint = staged(by.where("first <> last").select("record"), "joint")
+    edges = members.join(joint, "record", "left_semi").join(by, "record").select(F.col("first").alias("a"), F.xxhash64("group_key").alias("b"))
+    found = components(staged(edges.where("a <> b").distinct(), "edges"), "a", "b").select(F.col("node").alias("first"), "component")
+    return by.join(found, "first", "left").select("record", F.struct(F.coalesce("component", "first").alias("group"), F.lit(None).cast("string").alias("alone")).alias("publication"))
+
+
 def survivors(groups: DataFrame, rows: DataFrame, boilerplate_at: int = 5, half_life_days: float = 730.0) -> DataFrame:
     """``group_key``, ``field_name``, ``record`` whose value survives.
 
     ``groups`` has (``group_key``, ``record``); ``rows`` comes from
-    ``long_rows``. Prose that ``boilerplate_at`` or more records share word for
-    word outside one group of copies is a notice and counts as none. No row
+    ``long_rows``. Prose that ``boilerplate_at`` or more publications share word
+    for word is a notice and counts as none; the records of a group are one
+    publication, and so is each record outside all groups. No row
     comes out where all records of a group hold the same content or none.
     Nulls are no content; among equal contents the latest record wins, then
     the smallest key. Empty tables give no rows.
@@ -77,7 +90,13 @@ def survivors(groups: DataFrame, rows: DataFrame, boilerplate_at: int = 5, half_
     rows = staged(rows, "features")
     members = groups.where("group_key is not null and record is not null").select("group_key", "record").distinct()
     several = members.groupBy("group_key").agg(F.min("record").alias("_a"), F.max("record").alias("_b")).where("_a < _b").select("group_key")
-    notices = rows.where("prose and fullness > 0").groupBy("field_name", "content").agg(F.count("*").alias("_n")).where(F.col("_n") >= boilerplate_at).select("field_name", "content", F.lit(True).alias("_notice"))
+    prose = rows.where("prose and fullness > 0")
+    # what so many records share is rare, so only its records are given publications
+    shared = prose.groupBy("field_name", "content").agg(F.count("*").alias("_n")).where(F.col("_n") >= boilerplate_at).select("field_name", "content")
+    shared = broadcast_if_small(shared, 1_000_000)
+    held = prose.join(shared, ["field_name", "content"]).join(_publications(members), "record", "left")
+    held = held.select("field_name", "content", F.coalesce("publication", F.struct(F.lit(None).cast("bigint").alias("group"), F.col("record").cast("string").alias("alone"))).alias("publication"))
+    notices = held.groupBy("field_name", "content").agg(F.count_distinct("publication").alias("_n")).where(F.col("_n") >= boilerplate_at).select("field_name", "content", F.lit(True).alias("_notice"))
     notices = broadcast_if_small(notices, 1_000_000)
     marked = rows.join(notices, ["field_name", "content"], "left")
     none = F.col("_notice").isNotNull()

@@ -76,6 +76,16 @@ def test_survivors(frame):
     assert picked(frame, [], rows) == {} and picked(frame, [("d", 1), ("d", 2)], []) == {}
 
 
+def test_text_of_one_publication_is_no_notice(frame):
+    text, notice = "The genuine and full abstract of one publication.", "No summary was supplied for this record, we are sorry to say so."
+    copies = [(i, text, None, None, None) for i in range(1, 8)]
+    rows = [*copies, (8, "Short one.", None, None, None), *[(i, notice, None, None, None) for i in range(20, 25)], (25, "True one.", None, None, None)]
+    groups = [("d", i) for i in (1, 2, 3, 4, 8)] + [("e", i) for i in (4, 5, 6, 7)] + [("n", 20), ("n", 25)]
+    got = picked(frame, groups, rows)
+    # seven copies in two groups that share a record are one publication; five apart are a notice
+    assert got == {("d", "abstract"): 1, ("n", "abstract"): 25}
+
+
 def test_survivors_ties_and_wide(frame):
     import datetime as dt
 
