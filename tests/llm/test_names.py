@@ -67,6 +67,12 @@ def test_persons(frame):
     assert not [p for p in got if p[0].split()[0] != p[1].split()[0] and "Family" in p[0]]
 
 
+def test_rare_given_names_with_a_slip(frame):
+    slips = ["Penelope Krudrisivo", "Penellope Krudrisivo"]
+    apart = ["Binh Cotucaibe", "Minh Cotucaibe", *(f"{g} {f}" for g in ("Marit", "Margit") for f in ("Fanesele", "Huson", "Lodar"))]
+    assert pairs(frame, person_entities, slips + apart) == closed(slips)
+
+
 def test_person_parts(frame):
     df = parse_persons(frame([("Lee, Ann Bo",), ("Ann Bo Lee",), ("Lee AB",), ("Bob Lee",), (".",)], "name string"))
     got = {r["name"]: (r["family"], r["given"], r["middle"]) for r in df.collect()}
