@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -43,25 +43,35 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` staged, and marked for broadcast only if it has at most ``max_rows``.
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a staged ``df`` is read from."""
+    total = 0
+    for name in df.inputFiles():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(name)
+        total += path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
+    return total
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 500_000, max_bytes: int = 8 << 20) -> DataFrame:
+    """``df`` staged, and marked for broadcast only if it has at most ``max_rows``
+    and its compressed files at most ``max_bytes``.
 
     Beyond that the join is left to the planner, which then shuffles; the
     result is the same.
     """
     kept = staged(df, "lookup")
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    return F.broadcast(kept) if stored_bytes(kept) <= max_bytes and kept.count() <= max_rows else kept
 
 
 def one_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     """One row per ``key``: the last by ``order``, ties by the rows' content.
 
-    Rows with a null key are dropped, as they name no record.
+    Rows with a null key are dropped, as they name no record. Each row is
+    ranked inside its key after one shuffle, and moves once.
     """
-    rest = [c for c in df.columns if c != key]
-    rank = F.struct(*(F.col(c) for c in order), *(F.col(c) for c in rest if c not in order))
-    best = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
-    return best.select(key, "_row.*")
+    rest = [F.col(c).desc_nulls_last() for c in (*order, *(c for c in df.columns if c != key and c not in order))]
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*rest))
+    return df.where(F.col(key).isNotNull()).withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
 def clear_staged(spark: SparkSession) -> None:
