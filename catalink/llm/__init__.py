@@ -1 +1 @@
-"""Operators for training data at scale: linkage, deduplication, leakage, mixing."""
+"""Operators for training data: names, survivors, components, linkage, leakage, mixing, spans."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalink.llm import sql
 from catalink.llm.canonical_names import match_names
 from catalink.llm.components import components, encoded
-from catalink.llm.leakage import leaks
+from catalink.llm.leakage import leaks, matches
 from catalink.llm.linking import link, records
 from catalink.llm.mixing import mixed, shares, token_lengths
 from catalink.llm.name_variants import organisation_entities, person_entities, variant_pairs
@@ -87,6 +87,11 @@ def p8_found(spark: SparkSession, base: str) -> DataFrame:
     return leaks(table(spark, base, "documents", "doc_id", "text"), table(spark, base, "eval_items", "item_id", "item_text"))
 
 
+def p8_matches(spark: SparkSession, base: str) -> DataFrame:
+    """The same with the kind of match: an exact phrase, or nearly so."""
+    return matches(table(spark, base, "documents", "doc_id", "text"), table(spark, base, "eval_items", "item_id", "item_text"))
+
+
 def p9_mix(spark: SparkSession, base: str) -> DataFrame:
     """The documents of the mix and how often each is used."""
     lengths = token_lengths(table(spark, base, "documents", "doc_id", "source", "text"))
@@ -109,7 +114,7 @@ def p10_coverage(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p7_found, p7_matches, p8_found, p9_mix, p9_shares, p10_found, p10_coverage)}
+    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p7_found, p7_matches, p8_found, p8_matches, p9_mix, p9_shares, p10_found, p10_coverage)}
 
 
 def oracle_sql() -> dict[str, str]:

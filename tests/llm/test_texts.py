@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from catalink.llm.leakage import Leak, leaks, words
+from catalink.llm.leakage import Leak, leaks, matches, words
 from catalink.llm.spans import COVER_133, Cover, coverage, shared_pairs, window_hashes
 
 VOCABULARY = [f"w{i}" for i in range(60)] + ["the", "of", "and"] * 4
@@ -41,26 +41,41 @@ def test_leaks(frame):
     expected = [(d, i) for d in (1, 3, 4, 5, 6, 12) for i in (1, 4)]
     # every second word another one: in order, but not nearly so
     assert leaked(frame, docs, items) == sorted(expected)
-    assert leaked(frame, docs, items, Leak(block=1)) == sorted(expected)
+    assert leaked(frame, docs, items, Leak(block_items=1, block_words=40)) == sorted(expected)
     assert leaked(frame, [], items) == [] and leaked(frame, docs, []) == []
 
 
 def brute(item, doc, leak):
-    """The longest chain of equal words with at most ``gap`` others between."""
+    """Whether a chain of equal words keeps to the limits: for every end, the
+    fewest skipped words of a chain of k words."""
     best = {}
-    top = (0, 0)
     for i, a in enumerate(item):
         for j, b in enumerate(doc):
             if a == b:
-                c = (1, 0)
+                c = {1: 0}
                 for di in range(1, leak.gap + 2):
                     for dj in range(1, leak.gap + 2):
-                        p = best.get((i - di, j - dj))
-                        if p:
-                            c = max(c, (p[0] + 1, p[1] - max(di, dj) + 1))
+                        for k, s in best.get((i - di, j - dj), {}).items():
+                            c[k + 1] = min(c.get(k + 1, 9999), s + max(di, dj) - 1)
                 best[i, j] = c
-                top = max(top, c)
-    return top[0] >= leak.min_words and -top[1] <= leak.skipped * top[0]
+                if any(k >= leak.min_words and s <= leak.skipped * k for k, s in c.items()):
+                    return True
+    return False
+
+
+def test_a_leak_may_go_on_badly(frame):
+    w = [f"word{i}" for i in range(60)]
+    doc = w[:15] + [x for k in range(17, 60, 3) for x in ("some", "other", w[k])]
+    near = w[:6] + ["x"] + w[6:11] + w[12:18]
+    got = matches(frame([(1, " ".join(doc)), (2, " ".join(near)), (3, " ".join(w[:14]))], "doc_id long, text string"), frame([(5, " ".join(w))], "item_id long, item_text string"))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 5, "phrase"), (2, 5, "near")]
+
+
+def test_words_of_very_long_items_and_texts(frame):
+    rng = random.Random(3)
+    item = [f"v{rng.randrange(3000)}" for _ in range(70_000)]
+    docs = [(1, " ".join(item[66_000:66_020])), (2, " ".join(rng.choices(["v1", "v2", "zz"], k=200_000) + item[69_980:]))]
+    assert leaked(frame, docs, [(9, " ".join(item))]) == [(1, 9), (2, 9)]
 
 
 def test_leaks_against_every_pair(frame):
