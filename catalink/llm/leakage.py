@@ -235,27 +235,31 @@ def intersected(rows: pd.DataFrame, leak: Leak, at_once: int = 1_000_000) -> pd.
     return pd.DataFrame({"doc_id": doc[first], "items": cut(item), "offsets": cut(offset)})
 
 
-def chains(items: list[np.ndarray], docs: list[np.ndarray], offsets: np.ndarray, leak: Leak) -> tuple[np.ndarray, np.ndarray]:
+def chains(items: list[np.ndarray], docs: list[np.ndarray], which: np.ndarray, offsets: np.ndarray, leak: Leak) -> tuple[np.ndarray, np.ndarray]:
     """Whether each document holds a leak of its item near the offset, and
     whether ``min_words`` of it stand there word for word.
 
-    For every pair of equal words within the band of offsets, the fewest words
-    skipped by a chain of k words that ends there. A long chain that keeps to
-    both limits contains one of less than twice ``min_words`` that does, so k
-    ends there.
+    ``which`` names the document of each item. For every pair of equal words
+    within the band of offsets, the fewest words skipped by a chain of k words
+    that ends there. A long chain that keeps to both limits contains one of less
+    than twice ``min_words`` that does, so k ends there.
     """
-    longest, most = max(map(len, items)), 2 * leak.min_words - 1
+    c, longest, most = len(items), max(map(len, items)), 2 * leak.min_words - 1
     # the words that agree lie in two cells, those of their chain a drift beyond
     lead, band = leak.drift, 4 * leak.drift
-    c = len(items)
-    equal = np.zeros((c, longest, band), bool)
-    at = np.arange(longest)[:, None] + np.arange(band)[None, :]
-    for k, (x, d, o) in enumerate(zip(items, docs, offsets)):
-        begin, end = o - lead, o - lead + band + len(x) - 1
-        part = d[max(0, begin) : max(0, end)]
-        part = np.concatenate([np.zeros(max(0, min(-begin, end - begin)), np.int64), part])
-        part = np.concatenate([part, np.zeros(end - begin - len(part), np.int64)])
-        equal[k, : len(x)] = part[at[: len(x)]] == x[:, None]
+    # all documents in a row, a zero before and after each
+    size = np.array([len(d) for d in docs])
+    flat = np.zeros(size.sum() + len(docs) + 1, np.int64)
+    begin = np.cumsum(size + 1) - size
+    for d, x in zip(begin, docs):
+        flat[d : d + len(x)] = x
+    words_ = np.ones((c, longest), np.int64)
+    for k, x in enumerate(items):
+        words_[k, : len(x)] = x
+    at = (np.arange(longest)[:, None] + np.arange(band)[None, :])[None] + (offsets - lead)[:, None, None]
+    np.clip(at, -1, size[which][:, None, None], out=at)
+    at += begin[which][:, None, None]
+    equal = flat[at] == words_[:, :, None]
     found, phrase = np.zeros(c, bool), np.zeros(c, bool)
     # the offsets of a chain lie within one drift, so in one of three narrower bands
     for begin in range(0, band - leak.drift, leak.drift):
@@ -329,11 +333,12 @@ def matches(documents: DataFrame, items: DataFrame, leak: Leak = Leak(), index:
             item, offset = (np.concatenate([*b[c], np.empty(0)]).astype(np.int64) for c in ("items", "offsets"))
             terms = [known.value[i] for i in item] if known else [np.asarray(b["terms"].iloc[r]) for r in row]
             order = np.argsort([len(t) for t in terms], kind="stable")
-            # pairs of items alike in length together, at most 40,000 words of them
+            # pairs of items alike in length together, at most 20,000 words of them
             size = np.cumsum([len(terms[i]) for i in order])
-            cuts = [0, *(np.flatnonzero(np.diff(size // 40_000)) + 1), len(order)]
+            cuts = [0, *(np.flatnonzero(np.diff(size // 20_000)) + 1), len(order)]
             for part in (order[x:y] for x, y in zip(cuts[:-1], cuts[1:]) if x < y):
-                found, phrase = chains([terms[i] for i in part], [docs[row[i]] for i in part], offset[part], leak)
+                used, which = np.unique(row[part], return_inverse=True)
+                found, phrase = chains([terms[i] for i in part], [docs[d] for d in used], which, offset[part], leak)
                 yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy()[row[part[found]]], "item_id": item[part[found]], "rank": (~phrase[found]).astype("int32")})
 
     sure = pairs.mapInPandas(run, "doc_id long, item_id long, rank int").groupBy("doc_id", "item_id").agg(F.min("rank").alias("rank"))

@@ -12,7 +12,7 @@ from catalink.llm.leakage import leaks, matches
 from catalink.llm.linking import link, records
 from catalink.llm.mixing import mixed, shares, token_lengths
 from catalink.llm.name_variants import organisation_entities, person_entities, variant_pairs
-from catalink.llm.spans import coverage, shared_pairs
+from catalink.llm.spans import coverage, links as span_links, members as span_members, shared_pairs
 from catalink.llm.survivors import FIELDS, bare_doi, long_rows, survivors
 from catalink.operators.packed import LAYOUTS, unpack
 from catalink.sources.tables import staged, table
@@ -108,13 +108,23 @@ def p10_found(spark: SparkSession, base: str) -> DataFrame:
     return shared_pairs(table(spark, base, "documents", "doc_id", "text"))
 
 
+def p10_links(spark: SparkSession, base: str) -> DataFrame:
+    """The same between different texts, without the pairs of a passage of many."""
+    return span_links(table(spark, base, "documents", "doc_id", "text"))[1]
+
+
+def p10_members(spark: SparkSession, base: str) -> DataFrame:
+    """Of every document its text and the class of texts it shares spans with."""
+    return span_members(table(spark, base, "documents", "doc_id", "text"))
+
+
 def p10_coverage(spark: SparkSession, base: str) -> DataFrame:
     """How much of each document is shared elsewhere."""
     return coverage(table(spark, base, "documents", "doc_id", "text"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p7_found, p7_matches, p8_found, p8_matches, p9_mix, p9_shares, p10_found, p10_coverage)}
+    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p7_found, p7_matches, p8_found, p8_matches, p9_mix, p9_shares, p10_found, p10_links, p10_members, p10_coverage)}
 
 
 def oracle_sql() -> dict[str, str]:

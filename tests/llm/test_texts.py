@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from catalink.llm.leakage import Leak, leaks, matches, words
-from catalink.llm.spans import COVER_133, Cover, coverage, shared_pairs, window_hashes
+from catalink.llm.spans import COVER_133, Cover, Hasher, coverage, links, members, shared_pairs
 
 VOCABULARY = [f"w{i}" for i in range(60)] + ["the", "of", "and"] * 4
 
@@ -110,8 +110,9 @@ def test_cover():
 def test_hashes_do_not_depend_on_the_place(data, shift):
     codes = np.frombuffer(data, np.uint8)
     moved = np.concatenate([np.full(shift, 7, np.uint8), codes])
-    a = window_hashes(codes, 12, np.arange(len(codes) - 11))
-    b = window_hashes(moved, 12, np.arange(len(codes) - 11) + shift)
+    hashed = Hasher(100)
+    a = hashed(codes, 12, np.arange(len(codes) - 11))
+    b = hashed(moved, 12, np.arange(len(codes) - 11) + shift)
     assert (a == b).all()
 
 
@@ -120,7 +121,9 @@ def all_pairs(docs, n):
     return sorted((a, b) for a in sets for b in sets if a < b and sets[a] & sets[b])
 
 
-def test_shared_spans(frame):
+@pytest.mark.parametrize("few", [0, 3, 64])
+def test_shared_spans(frame, few):
+    cover = Cover(few=few)
     rng = random.Random(9)
     noise = lambda n: "".join(rng.choices("abcdef äß\n\U0001f600", k=n))
     passages = [noise(rng.randint(280, 420)) for _ in range(6)] + [noise(300), noise(299), noise(301)]
@@ -132,9 +135,9 @@ def test_shared_spans(frame):
         docs.append((d, t))
     docs += [(100, docs[0][1]), (101, docs[0][1]), (102, None), (103, ""), (104, "x" * 299), (105, "x" * 299), (106, "y" * 1000), (107, "y" * 300), (None, "y" * 300)]
     df = frame([(d, t, 1) for d, t in docs], "doc_id long, text string, rep int")
-    got = sorted(tuple(r) for r in shared_pairs(df).collect())
+    got = sorted(tuple(r) for r in shared_pairs(df, 300, cover).collect())
     assert got == all_pairs(docs, 300) and len(got) > 20
-    share = {r["doc_id"]: r["shared_chars"] for r in coverage(df.where("doc_id is not null")).collect()}
+    share = {r["doc_id"]: r["shared_chars"] for r in coverage(df.where("doc_id is not null"), 300, cover).collect()}
     sets = {d: {t[k : k + 300] for k in range(len(t) - 299)} for d, t in docs if d is not None and t}
     for d, t in docs:
         if d is None:
@@ -147,6 +150,27 @@ def test_shared_spans(frame):
         assert share[d] == len(inside)
 
 
+def test_one_passage_in_very_many_texts(frame, spark):
+    from pyspark.sql import functions as F
+
+    n = 20_000
+    rng = random.Random(4)
+    passage = "".join(rng.choices("abcdefghijk lmnop", k=310))
+    notice = "".join(rng.choices("abcdefghijk lmnop", k=250))
+    noise = F.sha2(F.col("id").cast("string"), 256)
+    held = F.when(F.col("id") % 2 == 0, F.lit(passage)).otherwise(notice)
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.substring(noise, F.lit(1), (F.col("id") % 41).cast("int")), held, noise).alias("text"))
+    found = links(df)[1]
+    rows = found.collect()
+    # the smallest text is linked to each other one; where the noise agrees, too, there are smaller passages within
+    got = {(r["rep_a"], r["rep_b"]) for r in rows}
+    assert got >= {(0, k) for k in range(2, n, 2)} and all(a < b and a % 2 == b % 2 == 0 for a, b in got) and len(rows) < 10 * n
+    classes = {r["doc_id"]: r["class_id"] for r in members(df).collect()}
+    assert all(classes[k] == (0 if k % 2 == 0 else k) for k in range(n))
+    share = coverage(df).groupBy("shared_chars").count().collect()
+    assert {r[0]: r[1] for r in share}[0] == n // 2 and min(r[0] for r in share if r[0]) >= 310
+
+
 def test_shared_spans_of_nothing(frame):
     empty = frame([], "doc_id long, text string")
     assert shared_pairs(empty).count() == 0 and coverage(empty).count() == 0
