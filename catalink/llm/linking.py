@@ -5,21 +5,24 @@ by an edge if they share rare attributes (keys built of identifiers, numbers,
 names and pieces of titles); an edge weighs the more the rarer what is shared.
 Meta-blocking keeps the edges that weigh at least the mean of one of their
 nodes. What is left is compared attribute by attribute, and the similarity is
-then propagated: a pair gains or loses by how well both fit the records that
-either is linked to, until the set of matches is stable.
+then propagated: a pair gains if the records that its two ends are best linked
+to fit each other, and loses if they do not, until the set of matches is
+stable. Pairs that come into reach on the way are compared like all others; no
+pair comes out without a score of its own. Records alike in all attributes are
+one node.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalink.llm.canonical_names import _folded, name_words
 from catalink.llm.components import components
 from catalink.llm.survivors import bare_doi
-from catalink.sources.tables import staged
+from catalink.sources.tables import broadcast_if_small, staged
 
 #: Greek letters that titles write as signs or words.
 GREEK = {"α": "alpha", "β": "beta", "γ": "gamma", "δ": "delta", "ε": "epsilon", "κ": "kappa", "λ": "lambda", "μ": "mu", "π": "pi", "σ": "sigma", "τ": "tau", "ω": "omega"}
@@ -31,17 +34,18 @@ PART = "[\\s.,:;(-]+p[a-z]{2,4}\\s+([ivx]{1,5}|[0-9]{1,2})\\W*$"
 @dataclass(frozen=True)
 class Linkage:
     """``accept``: least score of a match; ``support``: weight of the
-    neighbours' similarity; ``rounds``: most rounds of propagation.
+    neighbours' similarity, by which a score moves ``most`` at most.
 
-    A title that more than ``general`` records of one source bear ("Editorial")
-    proves little. Where a shared key would join more than ``hot`` pairs, only
-    pairs are joined that share a further attribute: without one, the score of
-    a general title stays below ``accept``."""
+    Where a shared key would join more than ``hot`` pairs, they are made by the
+    key and a further attribute, and where that is hot, too, by two further
+    ones; what is as hot even then is made all the same. A pair that shares
+    fewer stays below ``accept``: a title of so many different records weighs
+    2, and no single attribute but a DOI, a page or a telling title 2 more."""
 
     accept: float = 4.0
     support: float = 0.4
-    rounds: int = 6
-    general: int = 5
+    most: float = 3.0
+    rounds: int = 40
     hot: int = 1_000_000
 
 
@@ -115,12 +119,55 @@ def block_keys(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.array_distinct(F.array_compact(keys))).alias("key"), "id")
 
 
-def _further(rows: DataFrame) -> DataFrame:
-    """(``id``, ``more``): attributes that a pair may share besides a hot key."""
-    journal = F.array_join("journal", " ")
-    some = [F.when(F.col("doi").isNotNull(), F.xxhash64(F.lit("d"), "doi")), F.when(F.col("page").isNotNull(), F.xxhash64(F.lit("p"), "page")), F.when(F.col("year").isNotNull() & (journal != ""), F.xxhash64(F.lit("j"), journal, "year")), F.when(F.col("volume").isNotNull() & F.col("year").isNotNull(), F.xxhash64(F.lit("v"), "volume", "year"))]
-    people = F.transform("names", lambda w: F.xxhash64(F.lit("n"), w))
-    return rows.select("id", F.explode(F.array_distinct(F.concat(F.array_compact(F.array(*some)), people))).alias("more"))
+def telling(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``title``, ``most``: what an equal title proves, for titles of several records.
+
+    A title that stands for one publication has records of one year or one
+    first author; the more of both, the more general it is ("Editorial"). 6
+    points up to two of both, 2 from eight on. Years and names are counted by
+    the bits of a mask, so a title of any number of records is one short sum.
+    """
+    bit = lambda h: F.when(h.isNotNull(), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(61)).cast("int")))
+    lead = F.when(F.size("names") > 0, F.xxhash64(F.array_max(F.transform("names", lambda w: F.concat(F.lpad(F.length(w).cast("string"), 4, "0"), w)))))
+    rows = left.select("title", "year", "names").unionByName(right.select("title", "year", "names")).where("title <> ''")
+    masks = rows.groupBy("title").agg(F.count("*").alias("n"), F.bit_or(bit(F.col("year"))).alias("ys"), F.bit_or(bit(lead)).alias("ns")).where("n > 2")
+    k = F.least(F.bit_count(F.coalesce("ys", F.lit(0))), F.bit_count(F.coalesce("ns", F.lit(0))))
+    return masks.where(k > 2).select("title", F.greatest(F.lit(2.0), 6.0 - 2.0 * F.log2(k / 2)).alias("most"))
+
+
+def _further(rows: DataFrame, general: DataFrame) -> DataFrame:
+    """(``id``, ``more``, ``enough``): attributes that a pair may share besides a
+    hot key; ``enough`` marks those that weigh as much as two others."""
+    one = lambda kind, c, enough: F.when(F.col(c).isNotNull(), F.struct(F.xxhash64(F.lit(kind), c).alias("more"), F.lit(enough).alias("enough")))
+    many = lambda kind, words: F.transform(words, lambda w: F.struct(F.xxhash64(F.lit(kind), w).alias("more"), F.lit(False).alias("enough")))
+    whole = F.when((F.col("title") != "") & F.col("most").isNull(), F.struct(F.xxhash64(F.lit("t"), "title").alias("more"), F.lit(True).alias("enough")))
+    some = F.array_compact(F.array(one("d", "doi", True), one("p", "page", True), one("y", "year", False), one("v", "volume", False), one("i", "issue", False), whole))
+    # words of a general title part nothing, those of others tell nearly equal titles
+    words = F.when(F.col("most").isNull(), F.filter(F.split("title", " "), lambda w: F.length(w) >= 4)).otherwise(F.array().cast("array<string>"))
+    listed = F.concat(some, many("n", F.col("names")), many("j", F.col("journal")), many("w", F.coalesce(words, F.array().cast("array<string>"))))
+    return rows.join(general, "title", "left").select("id", F.inline(F.array_distinct(listed)))
+
+
+def _parted(sides: list[DataFrame], hot: DataFrame, rows: tuple[DataFrame, DataFrame], rule: Linkage) -> DataFrame:
+    """The pairs (``l``, ``r``, ``key``, ``w``) of the hot keys."""
+    general = broadcast_if_small(telling(*rows))
+    held = [staged(k.join(hot, "key"), "hot") for k in sides]
+    more = [staged(h.join(_further(x, general), "id"), "further") for h, x in zip(held, rows)]
+    na, nb = (m.groupBy("key", "more").agg(F.count("*").alias(n), F.first("enough").alias("enough")) for m, n in zip(more, ("na", "nb")))
+    both = staged(na.join(nb.drop("enough"), ["key", "more"]).select("key", "more", ((F.col("na") * F.col("nb") <= rule.hot) | F.col("enough")).alias("few")), "parted")
+    a, b = (m.join(both, ["key", "more"]).select("key", "more", "w", "few", F.col("id").alias(side)) for m, side in zip(more, "lr"))
+    first = a.where("few").join(b.where("few").drop("w", "few"), ["key", "more"]).select("l", "r", "key", "w")
+
+    def twos(m: DataFrame, side: str) -> DataFrame:
+        lists = m.where("not few").groupBy("key", side, "w").agg(F.array_sort(F.collect_list("more")).alias("x"))
+        pairs = F.flatten(F.transform("x", lambda v, i: F.transform(F.slice("x", i + 2, F.size("x")), lambda u: F.xxhash64(v, u))))
+        return lists.select("key", side, "w", F.explode(pairs).alias("two"))
+
+    second = twos(a, "l").join(twos(b, "r").drop("w"), ["key", "two"]).select("l", "r", "key", "w")
+    # a record without a title cannot be told apart by it: it meets all that share the key
+    bare = [h.join(x.where("title is null or title = ''").select("id"), "id", "left_semi") for h, x in zip(held, rows)]
+    meet = lambda x, y: x.withColumnRenamed("id", "l").join(y.withColumnRenamed("id", "r").drop("w"), "key").select("l", "r", "key", "w")
+    return first.unionByName(second).unionByName(meet(bare[0], held[1])).unionByName(meet(held[0], bare[1])).distinct()
 
 
 def candidates(left: DataFrame, right: DataFrame, rule: Linkage = Linkage()) -> DataFrame:
@@ -128,12 +175,10 @@ def candidates(left: DataFrame, right: DataFrame, rule: Linkage = Linkage()) ->
     a, b = staged(block_keys(left), "keys"), staged(block_keys(right), "keys")
     na, nb = (k.groupBy("key").agg(F.count("*").alias(n)) for k, n in ((a, "na"), (b, "nb")))
     shared = staged(na.join(nb, "key").select("key", F.log2(1.0 + 1e6 / (F.col("na") * F.col("nb"))).alias("w"), (F.col("na") * F.col("nb") > rule.hot).alias("hot")), "shared")
-    cool = a.join(shared.where("not hot"), "key").withColumnRenamed("id", "l").join(b.withColumnRenamed("id", "r"), "key").select("l", "r", "w")
-    # hot keys: a pair must share something else, too
+    pairs = a.join(shared.where("not hot"), "key").withColumnRenamed("id", "l").join(b.withColumnRenamed("id", "r"), "key").select("l", "r", "w")
     hot = shared.where("hot").select("key", "w")
-    sides = [k.join(hot, "key").join(_further(x), "id").withColumnRenamed("id", side) for k, x, side in ((a, left, "l"), (b, right, "r"))]
-    warm = sides[0].join(sides[1].drop("w"), ["key", "more"]).select("l", "r", "key", "w").distinct().select("l", "r", "w")
-    pairs = cool.unionByName(warm)
+    if not hot.isEmpty():
+        pairs = pairs.unionByName(_parted([a, b], hot, (left, right), rule).select("l", "r", "w"))
     edges = staged(pairs.groupBy("l", "r").agg(F.round(F.sum("w"), 6).alias("w")), "edges")
     mean_l = edges.groupBy("l").agg(F.avg("w").alias("ml"))
     mean_r = edges.groupBy("r").agg(F.avg("w").alias("mr"))
@@ -145,15 +190,13 @@ def _same(a: str, b: str, yes: float, no: float) -> Column:
     return F.when(F.col(a).isNull() | F.col(b).isNull(), 0.0).when(F.col(a) == F.col(b), yes).otherwise(no)
 
 
-def compared(edges: DataFrame, left: DataFrame, right: DataFrame, rule: Linkage = Linkage()) -> DataFrame:
+def compared(edges: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """(``l``, ``r``, ``score``) of the edges: evidence for and against, summed.
 
-    Pairs whose titles carry different markers (a notice, a part) are out.
+    ``left`` has ``most``, what its title can prove. Pairs whose titles carry
+    different markers (a notice, a part) are out.
     """
     side = lambda df, s: df.select(*(F.col(c).alias(f"{c}_{s}") for c in df.columns))
-    frequent = lambda df: df.where("title <> ''").groupBy("title").agg(F.count("*").alias("n")).where(F.col("n") > rule.general).select("title")
-    general = frequent(left).union(frequent(right)).distinct().select("title", F.lit(True).alias("general"))
-    left = left.join(general, "title", "left")
     rows = edges.join(side(left, "l"), F.col("l") == F.col("id_l")).join(side(right, "r"), F.col("r") == F.col("id_r"))
     # a subtitle may be missing, and what follows it with it
     cut = F.col("sub_l") != F.col("sub_r")
@@ -166,7 +209,7 @@ def compared(edges: DataFrame, left: DataFrame, right: DataFrame, rule: Linkage
     rows = rows.withColumn("alike", F.when(short > 0, F.greatest("whole", F.when(cut, ratio("main_l", "main_r") - 0.03))))
     alike = F.col("alike")
     # general titles prove little, short ones are often general
-    most = F.when(F.col("general_l").isNotNull(), 2.0).when(short < 20, 3.0).otherwise(6.0)
+    most = F.least(F.coalesce("most_l", F.lit(6.0)), F.when(short < 20, 3.0).otherwise(6.0))
     title = F.when(alike.isNull(), 0.0).otherwise(F.greatest(F.lit(-6.0), F.least((alike - 0.78) * 27.0, most)))
     year = F.when(F.col("year_l").isNull() | F.col("year_r").isNull(), 0.0).when(F.col("year_l") == F.col("year_r"), 1.0).when(F.abs(F.col("year_l") - F.col("year_r")) == 1, 0.0).otherwise(-1.5)
     near = F.exists("names_l", lambda x: F.exists("names_r", lambda y: (x == y) | ((F.length(x) >= 5) & (F.levenshtein(x, y) <= 2))))
@@ -177,45 +220,95 @@ def compared(edges: DataFrame, left: DataFrame, right: DataFrame, rule: Linkage
     return rows.select("l", "r", F.round(score, 6).alias("score"))
 
 
-def propagated(edges: DataFrame, rule: Linkage) -> DataFrame:
+def propagated(edges: DataFrame, left: DataFrame, right: DataFrame, rule: Linkage) -> DataFrame:
     """Scores after similarity has flowed along the graph until it is stable.
 
-    A pair (l, r) draws on the pairs (l, r') and (l', r) through which l' and
-    r' are linked: for each path l - r' - l' - r, the weakest of its three
-    edges. The best path moves the pair's score by its share.
+    A pair (l, r) draws on r', the record that l is best linked to, and l', the
+    one of r: the weakest of l - r', r' - l' and l' - r moves the pair's score by
+    its share of what it has above ``accept``, or lacks. Pairs that such a path
+    joins are compared if they were not yet. A pair that would change sides for
+    the third time stays out, so the end is reached; if it is not within
+    ``rounds``, that is an error.
     """
-    base = staged(edges, "scored").where("score > -4")
-    now, accepted = base, None
+    own = staged(compared(edges, left, right), "scored")
+    now = own.select("l", "r", F.col("score").alias("own"), "score", (F.col("score") >= rule.accept).alias("linked"), F.lit(0).alias("turns"))
     for _ in range(rule.rounds):
-        strong = now.where(F.col("score") >= rule.accept).select("l", "r", "score")
-        count = strong.agg(F.count("*"), F.round(F.sum(F.hash("l", "r").cast("decimal(20,0)")), 0)).first()
-        if count == accepted:
-            break
-        accepted = count
-        a, b, c = (strong.select(F.col("l").alias(x), F.col("r").alias(y), F.col("score").alias(s)) for x, y, s in (("l", "r2", "s1"), ("l2", "r2", "s2"), ("l2", "r", "s3")))
-        paths = a.join(b, "r2").where("l <> l2").join(c, "l2").where("r <> r2")
-        best = paths.groupBy("l", "r").agg(F.max(F.least("s1", "s2", "s3")).alias("through"))
-        moved = F.col("score") + rule.support * F.greatest(F.lit(0.0), F.coalesce("through", F.lit(0.0)) - rule.accept)
-        now = staged(base.join(best, ["l", "r"], "left").select("l", "r", F.round(moved, 6).alias("score")), "moved")
-    return now
+        strong = staged(now.where("linked").select("l", "r", "score"), "strong")
+        best_l = staged(strong.groupBy("l").agg(F.max_by(F.struct(F.col("r").alias("r2"), F.col("score").alias("s1")), F.struct("score", -F.col("r"))).alias("x")).select("l", "x.*"), "best")
+        best_r = staged(strong.groupBy("r").agg(F.max_by(F.struct(F.col("l").alias("l2"), F.col("score").alias("s3")), F.struct("score", -F.col("l"))).alias("x")).select("r", "x.*"), "best")
+        # pairs whose best records are linked to each other come into reach
+        paths = strong.select(F.col("l").alias("l2"), F.col("r").alias("r2")).join(best_l, "r2").join(best_r, "l2").select("l", "r")
+        fresh = staged(paths.distinct().join(now.select("l", "r"), ["l", "r"], "left_anti"), "reach")
+        more = not fresh.isEmpty()
+        if more:
+            scored = compared(fresh, left, right)
+            # those that compare as different publications are kept, so as not to be compared again
+            scored = fresh.join(scored, ["l", "r"], "left").select("l", "r", F.coalesce("score", F.lit(-99.0)).alias("own"))
+            now = now.unionByName(scored.select("l", "r", "own", F.col("own").alias("score"), F.lit(False).alias("linked"), F.lit(0).alias("turns")))
+            now = staged(now, "reached")
+        middle = now.select(F.col("l").alias("l2"), F.col("r").alias("r2"), F.col("own").alias("s2"))
+        near = now.select("l", "r").join(best_l, "l").join(best_r, "r").where("l <> l2 and r <> r2").join(middle, ["l2", "r2"])
+        near = near.select("l", "r", F.least("s1", "s2", "s3").alias("through"))
+        share = F.coalesce(F.greatest(F.lit(-rule.most), F.least(F.lit(rule.most), (F.col("through") - rule.accept) * rule.support)), F.lit(0.0))
+        moved = now.join(near, ["l", "r"], "left").withColumn("score", F.round(F.col("own") + share, 6))
+        turned = F.col("linked") != (F.col("score") >= rule.accept)
+        moved = moved.select("l", "r", "own", "score", ((F.col("score") >= rule.accept) & (F.col("turns") + turned.cast("int") < 3)).alias("linked"), F.col("linked").alias("was"), (F.col("turns") + turned.cast("int")).alias("turns"))
+        moved = staged(moved, "moved")
+        now = moved.drop("was")
+        if not more and moved.where("linked <> was").isEmpty():
+            return now
+    raise RuntimeError("the matches did not settle")
+
+
+def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records without those that equal an earlier one in all attributes, and
+    (``id``, ``node``) of the ones left out."""
+    attributes = [c for c in rows.columns if c != "id"]
+    rows = staged(rows.dropDuplicates(["id"]).withColumn("_h", F.xxhash64(*attributes)), "records")
+    first = rows.groupBy("_h").agg(F.min("id").alias("node"), F.max("id").alias("_b")).where("node < _b").select("_h", "node")
+    # equal hashes are looked at in full
+    several = rows.join(broadcast_if_small(first.select("_h")), "_h", "left_semi")
+    node = F.min("id").over(Window.partitionBy("_h", *attributes))
+    copies = staged(several.withColumn("node", node).where("id <> node").select("id", "node"), "copies")
+    return staged(rows.drop("_h").join(broadcast_if_small(copies.select("id")), "id", "left_anti"), "nodes"), copies
+
+
+def links(left: DataFrame, right: DataFrame, rule: Linkage = Linkage()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (``l``, ``r``, ``confidence``) between nodes, and the copies of both sides.
+
+    Both sides come from ``records``. The confidence follows from the score alone.
+    """
+    (a, copies_a), (b, copies_b) = _nodes(left), _nodes(right)
+    general = broadcast_if_small(telling(a, b))
+    rated = staged(a.join(general, "title", "left"), "rated")
+    found = propagated(candidates(a, b, rule), rated, b, rule).where("linked")
+    sure = F.round(1.0 / (1.0 + F.exp(-(F.col("score") - rule.accept / 2))), 6)
+    return staged(found.select("l", "r", sure.alias("confidence")), "links"), copies_a, copies_b
 
 
 def link(left: DataFrame, right: DataFrame, rule: Linkage = Linkage()) -> DataFrame:
     """``l``, ``r``, ``confidence`` of the pairs that describe the same thing.
 
-    Both sides come from ``records``. Every record of a left entity is paired
-    with every record of its right entity; pairs that are joined only through
-    others have the confidence of ``accept``. Null attributes neither speak
-    for nor against, repeated records count once, an empty side gives no pairs.
+    Every pair has its own score; copies have the links of the record they
+    equal. Null attributes neither speak for nor against, repeated records
+    count once, an empty side gives no pairs.
     """
-    a, b = (staged(x.dropDuplicates(["id"]), "records") for x in (left, right))
-    scored = staged(propagated(compared(candidates(a, b, rule), a, b, rule), rule), "links")
-    strong = scored.where(F.col("score") >= rule.accept).select("l", "r", "score")
+    found, copies_a, copies_b = links(left, right, rule)
+    for side, copies in (("l", copies_a), ("r", copies_b)):
+        also = found.join(broadcast_if_small(copies.withColumnRenamed("node", side)), side)
+        found = found.unionByName(also.withColumn(side, F.col("id")).drop("id"))
+    return found
+
+
+def members(left: DataFrame, right: DataFrame, rule: Linkage = Linkage()) -> DataFrame:
+    """``side`` ("l" or "r"), ``id``, ``entity`` of every linked record: one row
+    per record, however many records an entity has. An entity is named by the
+    least record of the left side in it."""
+    found, copies_a, copies_b = links(left, right, rule)
     # one number space: left even, right odd
-    nodes = components(strong.select((F.col("l") * 2).alias("u"), (F.col("r") * 2 + 1).alias("v")), "u", "v")
-    nodes = staged(nodes, "entities")
-    ls = nodes.where("node % 2 = 0").select((F.col("node") / 2).cast("long").alias("l"), "component")
-    rs = nodes.where("node % 2 <> 0").select(((F.col("node") - 1) / 2).cast("long").alias("r"), "component")
-    pairs = ls.join(rs, "component").select("l", "r").join(strong, ["l", "r"], "left")
-    sure = F.round(1.0 / (1.0 + F.exp(-(F.coalesce("score", F.lit(rule.accept)) - rule.accept / 2))), 6)
-    return pairs.select("l", "r", sure.alias("confidence"))
+    nodes = staged(components(found.select((F.col("l") * 2).alias("u"), (F.col("r") * 2 + 1).alias("v")), "u", "v"), "entities")
+    rows = nodes.select(F.when(F.col("node") % 2 == 0, "l").otherwise("r").alias("side"), F.floor(F.col("node") / 2).alias("id"), "component")
+    copies = copies_a.withColumn("side", F.lit("l")).unionByName(copies_b.withColumn("side", F.lit("r"))).withColumnRenamed("id", "copy").withColumnRenamed("node", "id")
+    rows = staged(rows.unionByName(rows.join(copies, ["side", "id"]).select("side", F.col("copy").alias("id"), "component")), "records")
+    least = rows.where("side = 'l'").groupBy("component").agg(F.min("id").alias("entity"))
+    return rows.join(least, "component").select("side", "id", "entity")

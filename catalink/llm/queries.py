@@ -9,7 +9,7 @@ from catalink.llm import sql
 from catalink.llm.canonical_names import match_names
 from catalink.llm.components import components, encoded
 from catalink.llm.leakage import leaks, matches
-from catalink.llm.linking import link, records
+from catalink.llm.linking import link, members as linked_members, records
 from catalink.llm.mixing import mixed, shares, token_lengths
 from catalink.llm.name_variants import organisation_entities, person_entities, variant_pairs
 from catalink.llm.spans import coverage, links as span_links, members as span_members, shared_pairs
@@ -68,13 +68,22 @@ def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return found.unionByName(variant_pairs(organisation_entities(organisations)).select(F.lit("organisation").alias("kind"), "name_a", "name_b"))
 
 
-def p7_matches(spark: SparkSession, base: str) -> DataFrame:
-    """Pairs of records of the same publication with a confidence."""
+def _publications(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     isi = table(spark, base, "isi_documents", "id", "title", "journal", "year", "doi", "author", "volume", "number", "pages")
     scopus = table(spark, base, "scopus_documents", "id", "title", "source_title", "year", "doi", "authors", "volume", "issue", "page_start")
     left = records(isi, key="id", title="title", journal="journal", year="year", doi="doi", authors="author", volume="volume", issue="number", page="pages")
     right = records(scopus, key="id", title="title", journal="source_title", year="year", doi="doi", authors="authors", volume="volume", issue="issue", page="page_start")
-    return link(left, right).select(F.col("l").alias("isi_id"), F.col("r").alias("scopus_id"), "confidence")
+    return left, right
+
+
+def p7_matches(spark: SparkSession, base: str) -> DataFrame:
+    """Pairs of records of the same publication with a confidence."""
+    return link(*_publications(spark, base)).select(F.col("l").alias("isi_id"), F.col("r").alias("scopus_id"), "confidence")
+
+
+def p7_members(spark: SparkSession, base: str) -> DataFrame:
+    """Of every linked record the publication it belongs to."""
+    return linked_members(*_publications(spark, base))
 
 
 def p7_found(spark: SparkSession, base: str) -> DataFrame:
@@ -124,7 +133,7 @@ def p10_coverage(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p7_found, p7_matches, p8_found, p8_matches, p9_mix, p9_shares, p10_found, p10_links, p10_members, p10_coverage)}
+    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p7_found, p7_matches, p7_members, p8_found, p8_matches, p9_mix, p9_shares, p10_found, p10_links, p10_members, p10_coverage)}
 
 
 def oracle_sql() -> dict[str, str]:

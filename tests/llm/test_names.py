@@ -1,7 +1,9 @@
+import random
+
 import pytest
 
 from catalink.llm.canonical_names import match_names
-from catalink.llm.linking import Linkage, link, records
+from catalink.llm.linking import Linkage, link, members, records
 from catalink.llm.name_variants import organisation_entities, parse_persons, person_entities, variant_pairs
 
 REFERENCE = ["Advances in Orchard Thermodynamics", "Journal of Saline Pedology", "Journal of Alpine Pedology and Optics", "Archives of Loess Seismology", "Proceedings of Volcanic Pedology"]
@@ -102,7 +104,7 @@ def linked(frame, left, right, rule=Linkage()):
     return sorted((r["l"], r["r"]) for r in link(records(frame(left, SIDE), **ALL), records(frame(right, SIDE), **ALL), rule).collect())
 
 
-@pytest.mark.parametrize("hot", [0, 1_000_000])
+@pytest.mark.parametrize("hot", [0, 4, 1_000_000])
 def test_linking(frame, hot):
     title = "Residual drainage of clay and gravel in northern terraces: a kriging study"
     base = (title, "Journal of Soils", "2018", "10.1234/abc", "Ann Leedy and Bo Norgat", "12", "3", "100-110")
@@ -136,3 +138,33 @@ def test_general_titles(frame):
     left = [some(i, i, people[i]) for i in range(8)]
     right = [some(i + 1000, i + 20, people[i - 1]) for i in range(8)] + [some(2003, 3, people[3])]
     assert linked(frame, left, right) == [(3, 2003)]
+
+
+def test_one_publication_of_many_records(frame):
+    title = "Residual drainage of clay and gravel in northern terraces"
+    bare = lambda key, year: (key, title, None, year, None, None, None, None, None)
+    for n in (5, 6, 40):
+        for hot in (0, 10**9):
+            assert linked(frame, [bare(i, "2018") for i in range(n)], [bare(1000, "2018")], Linkage(hot=hot)) == [(i, 1000) for i in range(n)]
+    # not quite alike, so no copies of one node
+    left = [(i, title + ("", "s", " x", " y", " z", ".", " w")[i], None, "2018", None, None, str(i), None, None) for i in range(7)]
+    assert linked(frame, left, [bare(1000, "2018")]) == linked(frame, left, [bare(1000, "2018")], Linkage(hot=0)) == [(i, 1000) for i in range(7)]
+
+
+def test_hot_keys_lose_nothing(frame):
+    rng = random.Random(5)
+    words = ["clay", "gravel", "drainage", "terrace", "kriging", "sorption", "creep", "mangrove", "seagrass", "titration"]
+    people = ["Krumholt", "Baxendale", "Osterwig", "Fennimore"]
+
+    def some(key, k):
+        r = random.Random(k)
+        title = "Long term monitoring of northern " + " ".join(r.choices(words, k=6))
+        row = [title, "Journal of " + r.choice(words), str(2000 + r.randrange(9)), f"10.1234/{k}" if r.random() < 0.3 else None, f"A. {r.choice(people)}", str(r.randrange(40)), None, str(r.randrange(300))]
+        return (key, *(None if rng.random() < 0.25 and c else x for c, x in enumerate(row)))
+
+    left, right = [some(i, i % 40) for i in range(80)], [some(1000 + i, i) for i in range(60)]
+    plain = linked(frame, left, right, Linkage(hot=10**9))
+    assert linked(frame, left, right, Linkage(hot=0)) == plain and len(plain) >= 70
+    rows = members(records(frame(left, SIDE), **ALL), records(frame(right, SIDE), **ALL)).collect()
+    entity = {(r["side"], r["id"]): r["entity"] for r in rows}
+    assert all(entity["l", a] == entity["r", b] for a, b in plain) and len(rows) == len({a for a, _ in plain}) + len({b for _, b in plain})
