@@ -3,9 +3,9 @@
 Documents are counted by source and exact token length. From the target shares
 and what each source can give at most follows one budget in tokens per source.
 Whole passes over a source take all its documents; what remains of its budget
-is fitted by a bounded knapsack over the counts by length, and the chosen
-number of documents of each length is drawn by a seeded order. Only counts by
-length reach the driver, never documents.
+is fitted by a bounded knapsack over the counts by length, source by source on
+the executors, and the chosen number of documents of each length is drawn by a
+seeded order. Only one total per source reaches the driver.
 """
 
 from __future__ import annotations
@@ -18,13 +18,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalink.sources.tables import staged
+from catalink.sources.tables import broadcast_if_small, staged
 
 DEFAULT_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the splitting pattern published with the default vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
-#: Tokens that the knapsack fits exactly; what is above is filled in proportion.
-EXACT = 1 << 16
+#: Tokens that the knapsack fits first; and up to how many if they do not suffice.
+WINDOW, MOST = 1 << 16, 1 << 28
+#: Bits that the fast knapsack may hold for going back.
+HELD = 1 << 30
 
 
 def counter(name: str, data: bytes):
@@ -63,55 +65,112 @@ def token_lengths(documents: DataFrame, tokenizer: str = DEFAULT_TOKENIZER) -> D
     return documents.select("doc_id", "source", "text").mapInPandas(run, "doc_id long, source string, n_tokens int")
 
 
-def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many of each length to take so that the sum is nearest to ``budget``.
+def _bundles(lengths: list[int], counts: list[int], top: int) -> list[tuple[int, int, int]]:
+    """(which length, how many, tokens): any number up to the count is a sum of some."""
+    out = []
+    for k, (n, c) in enumerate(zip(lengths, counts)):
+        c, size = min(c, top // n if n else 0), 1
+        while c > 0:
+            use = min(size, c)
+            out.append((k, use, n * use))
+            c, size = c - use, size * 2
+    return out
 
-    Bounded knapsack by binary splitting over a bit set of reachable sums; of
-    two sums equally near the smaller wins. Sums above the budget are reachable
-    up to the longest length. Budgets beyond ``2**22`` tokens are first filled
-    by whole shares of every length, which leaves their mix as it is.
+
+def _reach(bundles: list[tuple[int, int, int]], mask: int) -> int:
+    """Bit s is set if some of the bundles sum up to s."""
+    found = 1
+    for _, _, weight in bundles:
+        found |= found << weight & mask
+    return found
+
+
+def _some(bundles: list[tuple[int, int, int]], goal: int) -> list[tuple[int, int, int]]:
+    """Bundles that sum up to ``goal``, which can be reached; in little memory:
+    the bundles are halved and a sum of either half that completes the other found."""
+    if not goal:
+        return []
+    if len(bundles) == 1:
+        return bundles
+    mask = (1 << (goal + 1)) - 1
+    half = len(bundles) // 2
+    a, b = _reach(bundles[:half], mask), _reach(bundles[half:], mask)
+    mirrored = int(format(b, f"0{goal + 1}b")[::-1], 2)
+    both = a & mirrored
+    part = (both & -both).bit_length() - 1
+    return _some(bundles[:half], part) + _some(bundles[half:], goal - part)
+
+
+def nearest(lengths: list[int], counts: list[int], budget: int) -> tuple[list[int], int]:
+    """How many of each length so that the sum is nearest to ``budget``, and the sum.
+
+    Bounded knapsack by binary splitting over a bit set of reachable sums, which
+    are known up to the longest length above the budget; of two equally near
+    ones the smaller wins.
     """
-    taken = [0] * len(lengths)
-    total = sum(n * c for n, c in zip(lengths, counts))
-    if budget >= total:
-        return list(counts)
-    if budget <= 0:
-        return taken
-    if budget > EXACT:
-        part = (budget - EXACT // 2) / total
-        taken = [int(c * part) for c in counts]
-        budget -= sum(n * t for n, t in zip(lengths, taken))
-        for k in sorted(range(len(lengths)), key=lambda k: -lengths[k]):
-            more = max(0, min(counts[k] - taken[k], (budget - EXACT // 2) // lengths[k]))
-            taken[k] += more
-            budget -= more * lengths[k]
-        counts = [c - t for c, t in zip(counts, taken)]
     top = budget + max(lengths)
     mask = (1 << (top + 1)) - 1
-    bundles: list[tuple[int, int, int]] = []
-    steps: list[int] = []
-    reach = 1
-    for k, (n, c) in enumerate(zip(lengths, counts)):
-        c = min(c, top // n if n else 0)
-        size = 1
-        while c > 0:
-            use = min(size, c)
-            bundles.append((k, use, n * use))
+    bundles, steps, reach = _bundles(lengths, counts, top), [], 1
+    keep = len(bundles) * top <= HELD
+    for n, (_, _, weight) in enumerate(bundles, 1):
+        if keep:
             steps.append(reach)
-            reach |= (reach << (n * use)) & mask
-            c -= use
-            size *= 2
-            if reach >> budget & 1:
-                break
+        reach |= reach << weight & mask
         if reach >> budget & 1:
+            bundles = bundles[:n]
             break
-    goal = next(s for d in range(top + 1) for s in (budget - d, budget + d) if 0 <= s <= top and reach >> s & 1)
-    out = list(taken)
-    for (k, use, weight), before in zip(reversed(bundles), reversed(steps)):
-        if not before >> goal & 1:
+    below = (reach & ((1 << (budget + 1)) - 1)).bit_length() - 1
+    above = reach >> (budget + 1)
+    above = budget + 1 + (above & -above).bit_length() - 1 if above else None
+    goal = below if above is None or budget - below <= above - budget else above
+    out, rest = [0] * len(lengths), goal
+    if keep:
+        for (k, use, weight), before in zip(reversed(bundles[: len(steps)]), reversed(steps)):
+            if not before >> rest & 1:
+                out[k] += use
+                rest -= weight
+    else:
+        for k, use, _ in _some(bundles, goal):
             out[k] += use
-            goal -= weight
-    return out
+    return out, goal
+
+
+def _in_proportion(lengths: list[int], counts: list[int], budget: int) -> list[int]:
+    """Counts whose sum is at most ``budget`` and near it: the same part of all
+    lengths, what is rounded off given back to the largest remainders."""
+    part = budget / sum(n * c for n, c in zip(lengths, counts))
+    taken = [min(c, int(c * part)) for c in counts]
+    left = budget - sum(n * t for n, t in zip(lengths, taken))
+    for k in sorted(range(len(lengths)), key=lambda k: (taken[k] - counts[k] * part, k * 7919 % len(lengths))):
+        if taken[k] < counts[k] and lengths[k] <= left:
+            taken[k] += 1
+            left -= lengths[k]
+    return taken
+
+
+def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
+    """How many of each length to take so that the sum is nearest to ``budget``.
+
+    A small knapsack over what an equal part of all lengths leaves open nearly
+    always meets the budget to the token, and then nothing is nearer. Else the
+    window grows up to the whole budget (or to 2**28 tokens, if that is less),
+    so for budgets up to there the sum is the nearest of all.
+    """
+    if budget >= sum(n * c for n, c in zip(lengths, counts)):
+        return list(counts)
+    if budget <= 0:
+        return [0] * len(lengths)
+    best, window = None, WINDOW
+    while True:
+        base = _in_proportion(lengths, counts, budget - window // 2) if budget > window else [0] * len(lengths)
+        done = sum(n * t for n, t in zip(lengths, base))
+        more, got = nearest(lengths, [c - t for c, t in zip(counts, base)], budget - done)
+        miss = abs(done + got - budget)
+        if best is None or miss < best[0]:
+            best = (miss, [t + m for t, m in zip(base, more)])
+        if not best[0] or budget <= window or window >= MOST:
+            return best[1]
+        window *= 16
 
 
 def budgets(targets: dict[str, tuple[float, int]], available: dict[str, int], total: int | None) -> dict[str, int]:
@@ -132,22 +191,13 @@ def budgets(targets: dict[str, tuple[float, int]], available: dict[str, int], to
     return {s: min(most[s], round(live.get(s, 0.0) * total)) for s in targets}
 
 
-def plan(counts: list[tuple[str, int, int]], targets: dict[str, tuple[float, int]], total: int | None) -> pd.DataFrame:
+def plan(source: str, lengths: list[int], counts: list[int], wanted: int, repeats: int) -> pd.DataFrame:
     """Rows (``source``, ``n_tokens``, ``passes``, ``extra``): every document of
     that length is used ``passes`` times and ``extra`` of them once more."""
-    by: dict[str, list[tuple[int, int]]] = {}
-    for source, n, c in counts:
-        if n > 0 and source in targets:
-            by.setdefault(source, []).append((n, c))
-    wanted = budgets(targets, {s: sum(n * c for n, c in x) for s, x in by.items()}, total)
-    rows = []
-    for source, x in sorted(by.items()):
-        x.sort(reverse=True)
-        whole = sum(n * c for n, c in x)
-        passes, rest = divmod(wanted[source], whole)
-        passes, rest = (targets[source][1], 0) if passes >= targets[source][1] else (passes, rest)
-        extra = fit([n for n, _ in x], [c for _, c in x], rest)
-        rows += [(source, n, passes, e) for (n, _), e in zip(x, extra) if passes or e]
+    passes, rest = divmod(wanted, sum(n * c for n, c in zip(lengths, counts)))
+    passes, rest = (repeats, 0) if passes >= repeats else (passes, rest)
+    extra = fit(lengths, counts, rest)
+    rows = [(source, n, passes, e) for n, e in zip(lengths, extra) if passes or e]
     return pd.DataFrame(rows, columns=["source", "n_tokens", "passes", "extra"])
 
 
@@ -164,12 +214,21 @@ def mixed(lengths: DataFrame, targets: DataFrame, total: int | None = None, seed
     spark = lengths.sparkSession
     rows = staged(lengths.where("source is not null and doc_id is not null and n_tokens > 0").groupBy("doc_id").agg(F.max(F.struct("n_tokens", "source")).alias("x")).select("doc_id", "x.source", "x.n_tokens"), "lengths")
     wanted = {r["source"]: (r["target_share"] or 0.0, r["max_repeats"] or 0) for r in targets.where("source is not null").toLocalIterator()}
-    # as many rows as there are different lengths, not documents
-    counts = [(r["source"], r["n_tokens"], r["count"]) for r in rows.groupBy("source", "n_tokens").count().toLocalIterator()]
-    chosen = spark.createDataFrame(plan(counts, wanted, total).astype({"source": str, "n_tokens": int, "passes": int, "extra": int}), "source string, n_tokens int, passes long, extra long")
+    counts = staged(rows.groupBy("source", "n_tokens").agg(F.count("*").alias("n")), "counts")
+    named = spark.createDataFrame([(s,) for s in wanted], "source string")
+    available = {r["source"]: r["tokens"] for r in counts.join(F.broadcast(named), "source", "left_semi").groupBy("source").agg(F.sum(F.col("n") * F.col("n_tokens")).alias("tokens")).toLocalIterator()}
+    goal = budgets(wanted, available, total)
+
+    def planned(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("n_tokens", ascending=False)
+        source = rows["source"].iloc[0]
+        return plan(source, rows["n_tokens"].tolist(), rows["n"].tolist(), goal[source], wanted[source][1])
+
+    # a source has one row per different length, not per document
+    chosen = counts.join(F.broadcast(named), "source", "left_semi").groupBy("source").applyInPandas(planned, "source string, n_tokens int, passes long, extra long")
     # the seeded order splits every length into slices first, so no task ranks a hot length alone
     slice_ = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(64))
-    sized = rows.join(F.broadcast(chosen), ["source", "n_tokens"]).withColumn("slice", slice_).withColumn("order", F.xxhash64(F.lit(seed), "doc_id"))
+    sized = rows.join(broadcast_if_small(chosen), ["source", "n_tokens"]).withColumn("slice", slice_).withColumn("order", F.xxhash64(F.lit(seed), "doc_id"))
     held = sized.groupBy("source", "n_tokens", "slice").agg(F.count("*").alias("n"))
     before = held.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("source", "n_tokens").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     rank = F.row_number().over(Window.partitionBy("source", "n_tokens", "slice").orderBy("order", "doc_id"))

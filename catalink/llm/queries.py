@@ -13,9 +13,9 @@ from catalink.llm.linking import link, members as linked_members, records
 from catalink.llm.mixing import mixed, shares, token_lengths
 from catalink.llm.name_variants import organisation_entities, person_entities, variant_pairs
 from catalink.llm.spans import coverage, links as span_links, members as span_members, shared_pairs
-from catalink.llm.survivors import FIELDS, bare_doi, long_rows, survivors
+from catalink.llm.survivors import FIELDS, bare_doi, long_rows, source_trust, survivors, wide
 from catalink.operators.packed import LAYOUTS, unpack
-from catalink.sources.tables import staged, table
+from catalink.sources.tables import broadcast_if_small, staged, table
 
 
 def p2_found(spark: SparkSession, base: str) -> DataFrame:
@@ -27,13 +27,26 @@ def p2_found(spark: SparkSession, base: str) -> DataFrame:
     return typed.join(staged(found, "names"), "name").select("table_name", "record_id", "ref_id")
 
 
-def p3_found(spark: SparkSession, base: str) -> DataFrame:
-    """For each DOI and field the isi record whose value should survive."""
+def _survivors(spark: SparkSession, base: str, first: str) -> DataFrame:
     articles = table(spark, base, "articles", "doi", "raw_isi_id")
     groups = articles.select(bare_doi(F.col("doi")).alias("group_key"), F.col("raw_isi_id").alias("record"))
-    records = table(spark, base, "isi_documents", "id", "crawled_at", *(f.name for f in FIELDS))
-    found = survivors(groups, long_rows(records, "id", "crawled_at", F.lit(1.0), FIELDS))
-    return found.select(F.col("group_key").alias("doi"), "field_name", F.col("record").alias("isi_id"))
+    records = table(spark, base, "isi_documents", "id", "crawled_at", "title", "author", "doi", "publisher", *(f.name for f in FIELDS))
+    trust = F.lit(1.0)
+    if first == "votes":
+        rated = broadcast_if_small(source_trust(records, "publisher", bare_doi(F.col("doi")).isNotNull()))
+        records, trust = records.join(rated, records["publisher"].eqNullSafe(rated["source"]), "left"), F.coalesce("trust", F.lit(0.5))
+    rows = long_rows(records, "id", "crawled_at", trust, FIELDS)
+    return survivors(groups, rows, records.select(F.col("id").alias("record"), "title", "author"), first)
+
+
+def p3_found(spark: SparkSession, base: str) -> DataFrame:
+    """For each DOI and field the isi record whose value should survive."""
+    return _survivors(spark, base, "fullness").select(F.col("group_key").alias("doi"), "field_name", F.col("record").alias("isi_id"))
+
+
+def p3_votes(spark: SparkSession, base: str) -> DataFrame:
+    """The same by votes alone: what trusted and recent records agree on, one row per DOI."""
+    return wide(_survivors(spark, base, "votes")).withColumnRenamed("group_key", "doi")
 
 
 def links(spark: SparkSession, base: str) -> DataFrame:
@@ -133,7 +146,7 @@ def p10_coverage(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p7_found, p7_matches, p7_members, p8_found, p8_matches, p9_mix, p9_shares, p10_found, p10_links, p10_members, p10_coverage)}
+    return {f.__name__: f for f in (p2_found, p3_found, p3_votes, p4_found, p5_found, p7_found, p7_matches, p7_members, p8_found, p8_matches, p9_mix, p9_shares, p10_found, p10_links, p10_members, p10_coverage)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -76,37 +76,64 @@ def _publications(members: DataFrame) -> DataFrame:
     return by.join(found, "first", "left").select("record", F.struct(F.coalesce("component", "first").alias("group"), F.lit(None).cast("string").alias("alone")).alias("publication"))
 
 
-def survivors(groups: DataFrame, rows: DataFrame, boilerplate_at: int = 5, half_life_days: float = 730.0) -> DataFrame:
+def _words(text: Column) -> Column:
+    """The different words of four letters or more."""
+    return F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}]+", " "), " "), lambda w: F.length(w) >= 4))
+
+
+def _unlike(a: Column, b: Column) -> Column:
+    """Whether two lists of words have less than half of the shorter in common."""
+    return 2 * F.size(F.array_intersect(a, b)) < F.least(F.size(a), F.size(b))
+
+
+def notices(prose: DataFrame, members: DataFrame, about: DataFrame | None, unknown_at: int = 5) -> DataFrame:
+    """``field_name``, ``content`` of prose that belongs to no publication.
+
+    Records of one publication have like titles or authors. Of all records
+    that hold a text word for word, the two whose titles stand farthest apart
+    in the order of the alphabet are compared: if neither titles nor authors
+    are alike, the text is a notice, be it in two records or in a third of all.
+    Where no titles are known (``about`` is None), a text that ``unknown_at`` or
+    more publications hold is one; records of a group are one publication, and
+    so is each record outside all groups.
+    """
+    shared = prose.groupBy("field_name", "content").agg(F.count("*").alias("_n")).where("_n > 1").select("field_name", "content")
+    held = prose.join(broadcast_if_small(shared), ["field_name", "content"]).select("field_name", "content", "record")
+    if about is None:
+        held = held.join(_publications(members), "record", "left")
+        held = held.select("field_name", "content", F.coalesce("publication", F.struct(F.lit(None).cast("bigint").alias("group"), F.col("record").cast("string").alias("alone"))).alias("publication"))
+        return held.groupBy("field_name", "content").agg(F.count_distinct("publication").alias("_n")).where(F.col("_n") >= unknown_at).select("field_name", "content")
+    known = about.where("record is not null").select("record", _words(F.col("title")).alias("t"), _words(F.col("author")).alias("a")).where(F.size("t") > 0)
+    placed = held.join(known, "record").withColumn("place", F.array_join("t", " "))
+    ends = placed.groupBy("field_name", "content").agg(*(f(F.struct("place", "t", "a")).alias(n) for f, n in ((F.min, "x"), (F.max, "y"))))
+    return ends.where(_unlike(F.col("x.t"), F.col("y.t")) & _unlike(F.col("x.a"), F.col("y.a"))).select("field_name", "content")
+
+
+def survivors(groups: DataFrame, rows: DataFrame, about: DataFrame | None = None, first: str = "fullness", half_life_days: float = 730.0) -> DataFrame:
     """``group_key``, ``field_name``, ``record`` whose value survives.
 
     ``groups`` has (``group_key``, ``record``); ``rows`` comes from
-    ``long_rows``. Prose that ``boilerplate_at`` or more publications share word
-    for word is a notice and counts as none; the records of a group are one
-    publication, and so is each record outside all groups. No row
-    comes out where all records of a group hold the same content or none.
-    Nulls are no content; among equal contents the latest record wins, then
-    the smallest key. Empty tables give no rows.
+    ``long_rows``; ``about`` has (``record``, ``title``, ``author``) and tells
+    ``notices`` from content. ``first`` is what decides, "fullness" or
+    "votes"; the other parts equals. No row comes out where all records of a
+    group hold the same content or none. Nulls are no content; among equal
+    contents the latest record wins, then the smallest key. Empty tables give
+    no rows.
     """
     rows = staged(rows, "features")
     members = groups.where("group_key is not null and record is not null").select("group_key", "record").distinct()
     several = members.groupBy("group_key").agg(F.min("record").alias("_a"), F.max("record").alias("_b")).where("_a < _b").select("group_key")
-    prose = rows.where("prose and fullness > 0")
-    # what so many records share is rare, so only its records are given publications
-    shared = prose.groupBy("field_name", "content").agg(F.count("*").alias("_n")).where(F.col("_n") >= boilerplate_at).select("field_name", "content")
-    shared = broadcast_if_small(shared, 1_000_000)
-    held = prose.join(shared, ["field_name", "content"]).join(_publications(members), "record", "left")
-    held = held.select("field_name", "content", F.coalesce("publication", F.struct(F.lit(None).cast("bigint").alias("group"), F.col("record").cast("string").alias("alone"))).alias("publication"))
-    notices = held.groupBy("field_name", "content").agg(F.count_distinct("publication").alias("_n")).where(F.col("_n") >= boilerplate_at).select("field_name", "content", F.lit(True).alias("_notice"))
-    notices = broadcast_if_small(notices, 1_000_000)
-    marked = rows.join(notices, ["field_name", "content"], "left")
+    none = notices(rows.where("prose and fullness > 0"), members, about).withColumn("_notice", F.lit(True))
+    marked = rows.join(broadcast_if_small(none), ["field_name", "content"], "left")
     none = F.col("_notice").isNotNull()
     marked = marked.select("record", "field_name", "seen_at", "trust", *(F.when(none, 0).otherwise(F.col(c)).alias(c) for c in ("content", "fullness")))
     cases = members.join(several, "group_key", "left_semi").join(marked, "record")
     weight = F.col("trust") * F.pow(F.lit(2.0), F.coalesce(F.unix_timestamp("seen_at"), F.lit(0)) / F.lit(86400.0 * half_life_days) - F.lit(20.0))
     latest = F.max_by("record", F.struct("seen_at", -F.col("record")))
     values = cases.groupBy("group_key", "field_name", "content").agg(F.round(F.sum(weight), 6).alias("votes"), F.max("fullness").alias("fullness"), latest.alias("record"), F.max("seen_at").alias("seen_at"))
+    second = "votes" if first == "fullness" else "fullness"
     picked = values.groupBy("group_key", "field_name").agg(
-        F.max_by("record", F.struct("fullness", "votes", "seen_at", "content")).alias("record"),
+        F.max_by("record", F.struct(F.col("fullness") > 0, first, second, "seen_at", "content")).alias("record"),
         F.max("fullness").alias("_full"),
         F.min("content").alias("_c1"),
         F.max("content").alias("_c2"),
@@ -114,6 +141,13 @@ def survivors(groups: DataFrame, rows: DataFrame, boilerplate_at: int = 5, half_
     return picked.where("_full > 0 and _c1 <> _c2").select("group_key", "field_name", "record")
 
 
+def source_trust(records: DataFrame, source: str, sound: Column) -> DataFrame:
+    """``source``, ``trust``: the share of a source's records that are ``sound``,
+    between 0 and 1 also for sources of few records."""
+    share = (F.count_if(sound) + 1) / (F.count("*") + 2)
+    return records.groupBy(F.col(source).alias("source")).agg(F.round(share, 6).alias("trust"))
+
+
 def wide(found: DataFrame) -> DataFrame:
     """One row per group: for each field the record whose value survives."""
     names = [f.name for f in FIELDS]

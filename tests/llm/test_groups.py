@@ -96,6 +96,36 @@ def test_survivors_ties_and_wide(frame):
     assert wide(found).collect()[0].asDict() == {"group_key": "d", "abstract": 3, "keyword": None, "funding_text": 3}
 
 
+def test_notices_by_titles_and_authors(frame):
+    from catalink.llm.survivors import notices
+
+    rows = [(i, "abstract", c) for c, ids in ((1, (1, 2, 3, 4, 5, 6)), (2, (7, 8)), (3, (9, 10)), (4, (11,)), (5, (12, 13))) for i in ids]
+    title = "Residual drainage of clay and gravel in northern terraces"
+    about = [(i, title + " " * i, "Ann Leedy") for i in range(1, 6)] + [(6, "Residual drainge of clay, gravel in northern terraces", "B. Norgat"), (7, "Wear of mica", "Cy Whitlow"), (8, title, "Ann Leedy")]
+    about += [(9, "Fatigue of silica coatings", "Dee Marlow and Ann Leedy"), (10, title, "Marlow, D. and Leedy, Ann"), (11, "x", None), (12, None, None), (13, "Something else", None)]
+    prose = frame(rows, "record long, field_name string, content long")
+    found = notices(prose, None, frame(about, "record long, title string, author string"))
+    # six records of one publication are none, two unlike ones are, those of one team are not, unknown titles say nothing
+    assert [r["content"] for r in found.collect()] == [2]
+
+
+def test_votes(frame):
+    import datetime as dt
+
+    from catalink.llm.survivors import source_trust
+
+    day = lambda y: dt.datetime(y, 1, 1)
+    rows = [(1, "The long and full text that one record has.", None, None, day(2016), "x"), (2, "Short text", None, None, day(2018), "x"), (3, "short text.", None, None, day(2018), "x"), (4, "Latest", None, None, day(2020), "y")]
+    records = frame(rows, ISI + ", source string")
+    groups = frame([("d", 1), ("d", 2), ("d", 3), ("e", 3), ("e", 4)], "group_key string, record long")
+    trust = F.when(F.col("source") == "y", 0.1).otherwise(1.0)
+    found = survivors(groups, long_rows(records, "id", "crawled_at", trust, FIELDS), None, "votes")
+    # two votes beat a longer and a little older text; little trust outweighs two years
+    assert {(r["group_key"], r["abstract"]) for r in wide(found).collect()} == {("d", 2), ("e", 3)}
+    rated = source_trust(records, "source", F.col("id") < 3)
+    assert {(r["source"], r["trust"]) for r in rated.collect()} == {("x", 0.6), ("y", round(1 / 3, 6))}
+
+
 def test_bare_doi(frame):
     rows = [("https://doi.org/10.1234/AB.c",), ("DOI 10.1234/ab.C.",), (" doi:10.1234/ab.c ",), ("10.",), ("n/a",), ("",), (None,)]
     assert [r[0] for r in frame(rows, "x string").select(bare_doi(F.col("x"))).collect()] == ["10.1234/ab.c"] * 3 + [None] * 4
@@ -123,6 +153,35 @@ def test_fit_of_many():
     assert sum(n * t for n, t in zip(lengths, taken)) == 9_000_001 and all(0 <= t <= 40 for t in taken)
 
 
+def test_fit_of_few_lengths():
+    # an equal part of both lengths cannot be completed; ten of one length meet the budget
+    assert mixing.fit([60_000, 50_001], [10, 10], 500_010) == [0, 10]
+    rng = random.Random(1)
+    for _ in range(30):
+        lengths = sorted({rng.randint(20_000, 90_000) for _ in range(4)}, reverse=True)
+        counts = [rng.randint(1, 6) for _ in lengths]
+        sums = {0}
+        for n, c in zip(lengths, counts):
+            sums = {s + n * k for s in sums for k in range(c + 1)}
+        budget = rng.randint(1, max(sums))
+        total = sum(n * t for n, t in zip(lengths, mixing.fit(lengths, counts, budget)))
+        assert abs(total - budget) == min(abs(s - budget) for s in sums)
+
+
+def test_fit_in_little_memory(monkeypatch):
+    monkeypatch.setattr(mixing, "HELD", 0)
+    rng = random.Random(8)
+    for _ in range(60):
+        lengths = sorted({rng.randint(1, 40) for _ in range(5)}, reverse=True)
+        counts = [rng.randint(1, 9) for _ in lengths]
+        budget = rng.randint(1, sum(n * c for n, c in zip(lengths, counts)))
+        taken, got = mixing.nearest(lengths, counts, budget)
+        assert sum(n * t for n, t in zip(lengths, taken)) == got and all(0 <= t <= c for t, c in zip(taken, counts))
+    # what is rounded off goes to all lengths alike, not to the longest
+    taken = mixing._in_proportion(list(range(1000, 0, -1)), [1] * 1000, 250_250)
+    assert 0.4 < sum(taken[:500]) / sum(taken) < 0.6
+
+
 def test_mix(frame):
     rng = random.Random(2)
     rows = [(i, rng.choice("aaabbc"), rng.randint(1, 60)) for i in range(3000)] + [(9001, None, 5), (9002, "z", 5), (9003, "a", 0), (1, "a", 3)]
