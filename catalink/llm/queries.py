@@ -11,7 +11,7 @@ from catalink.llm.components import components, encoded
 from catalink.llm.leakage import leaks, matches
 from catalink.llm.linking import link, members as linked_members, records
 from catalink.llm.mixing import mixed, shares, token_lengths
-from catalink.llm.name_variants import organisation_entities, person_entities, variant_pairs
+from catalink.llm.name_variants import organisation_entities, person_entities, person_links, scored_pairs, variant_pairs
 from catalink.llm.spans import coverage, links as span_links, members as span_members, shared_pairs
 from catalink.llm.survivors import FIELDS, bare_doi, long_rows, source_trust, survivors, wide
 from catalink.operators.packed import LAYOUTS, unpack
@@ -71,14 +71,31 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
     return others.unionByName(tops).select(F.col("node").alias("isi_id"), F.col("component").alias("group_id"))
 
 
-def p5_found(spark: SparkSession, base: str) -> DataFrame:
-    """Pairs of spellings of one person or organisation."""
+def _persons(spark: SparkSession, base: str) -> DataFrame:
     authors = unpack(table(spark, base, "isi_documents", "id", "author"), "id", "author", LAYOUTS["author"])
-    persons = authors.select(F.col("item_value").alias("name"))
+    return authors.select(F.col("item_value").alias("name"))
+
+
+def _organisations(spark: SparkSession, base: str) -> DataFrame:
     isi = table(spark, base, "isi_documents", "affiliation").select(F.col("affiliation").alias("name"))
-    organisations = isi.unionByName(table(spark, base, "organizes", "name")).where(F.trim("name") != "")
-    found = variant_pairs(person_entities(persons)).select(F.lit("person").alias("kind"), "name_a", "name_b")
-    return found.unionByName(variant_pairs(organisation_entities(organisations)).select(F.lit("organisation").alias("kind"), "name_a", "name_b"))
+    return isi.unionByName(table(spark, base, "organizes", "name")).where(F.trim("name") != "")
+
+
+def p5_found(spark: SparkSession, base: str) -> DataFrame:
+    """Pairs of spellings of one person or organisation."""
+    found = variant_pairs(person_entities(_persons(spark, base))).select(F.lit("person").alias("kind"), "name_a", "name_b")
+    return found.unionByName(variant_pairs(organisation_entities(_organisations(spark, base))).select(F.lit("organisation").alias("kind"), "name_a", "name_b"))
+
+
+def p5_scored(spark: SparkSession, base: str) -> DataFrame:
+    """The pairs of persons with the rarity of what links them, ambiguous ones too."""
+    return scored_pairs(person_links(_persons(spark, base)))
+
+
+def p5_members(spark: SparkSession, base: str) -> DataFrame:
+    """Of every spelling the person or organisation it means: one row per spelling."""
+    people = person_entities(_persons(spark, base)).select(F.lit("person").alias("kind"), "name", "entity")
+    return people.unionByName(organisation_entities(_organisations(spark, base)).select(F.lit("organisation").alias("kind"), "name", "entity"))
 
 
 def _publications(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
@@ -146,7 +163,7 @@ def p10_coverage(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p3_found, p3_votes, p4_found, p5_found, p7_found, p7_matches, p7_members, p8_found, p8_matches, p9_mix, p9_shares, p10_found, p10_links, p10_members, p10_coverage)}
+    return {f.__name__: f for f in (p2_found, p3_found, p3_votes, p4_found, p5_found, p5_scored, p5_members, p7_found, p7_matches, p7_members, p8_found, p8_matches, p9_mix, p9_shares, p10_found, p10_links, p10_members, p10_coverage)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -4,7 +4,7 @@ import pytest
 
 from catalink.llm.canonical_names import match_names
 from catalink.llm.linking import Linkage, link, members, records
-from catalink.llm.name_variants import organisation_entities, parse_persons, person_entities, variant_pairs
+from catalink.llm.name_variants import Lists, organisation_entities, parse_persons, person_entities, person_links, scored_pairs, variant_pairs
 
 REFERENCE = ["Advances in Orchard Thermodynamics", "Journal of Saline Pedology", "Journal of Alpine Pedology and Optics", "Archives of Loess Seismology", "Proceedings of Volcanic Pedology"]
 
@@ -78,10 +78,30 @@ def test_rare_given_names_with_a_slip(frame):
 def test_person_parts(frame):
     df = parse_persons(frame([("Lee, Ann Bo",), ("Ann Bo Lee",), ("Lee AB",), ("Bob Lee",), (".",)], "name string"))
     got = {r["name"]: (r["family"], r["given"], r["middle"]) for r in df.collect()}
-    assert got["Lee, Ann Bo"] == got["Ann Bo Lee"] == ("lee", "ann", "b")
+    assert got["Lee, Ann Bo"] == got["Ann Bo Lee"] == ("lee", "ann", "bo")
     assert got["Lee AB"] == ("lee", "a", "b") and got["Bob Lee"] == ("lee", "robert", "") and "." not in got
 
 
+def test_all_given_names_count(frame):
+    apart = ["Smith, John Michael", "Smith, John Mark", "Nguyen, Thi Thu Ha", "Nguyen, Thi Thu Lan", "Nguyen, Thi Thu Mai", "Smith, John"]
+    same = ["Lopez, Ana Maria del Carmen Sofia Teresa Ines", "Lopez, Ana M. del C. S. T. I.", "Lopez, Ana Maria del Carmen Sofia Teresa Inés"]
+    assert pairs(frame, person_entities, apart + same) == closed(same)
+
+
+def test_common_rewritings_are_parted(frame):
+    people = [f"Nguyen, {g} {m}" for g in ("Thiago", "Theresia", "Thorben", "Tabitha", "Tabita") for m in ("", "Karl", "Kim", "Lena")] + ["Nguyen, Thorbn Karl", "Nguyn, Thiago Kim", "Nguyen, T. Kim"]
+    plain = pairs(frame, person_entities, people)
+    assert pairs(frame, lambda df: person_entities(df, Lists(many=1)), people) == plain and len(plain) >= 4
+
+
+def test_scores(frame):
+    names = ["Edward Flelasta", "Ellen Flelasta", "E. Flelasta", "Zed Brukano", "Z. Brukano"]
+    rows = scored_pairs(person_links(frame([(n,) for n in names], "name string"))).collect()
+    assert sorted((r["name_a"], r["name_b"], r["score"]) for r in rows) == [("E. Flelasta", "Edward Flelasta", 0.5), ("E. Flelasta", "Ellen Flelasta", 0.5), ("Z. Brukano", "Zed Brukano", 1.0)]
+    lists = Lists(nicknames={"edward": "nedko"})
+    assert pairs(frame, lambda df: person_entities(df, lists), ["Nedko Flelasta", "Edward Flelasta"]) == [("Edward Flelasta", "Nedko Flelasta")]
+
+
 def test_organisations(frame):
     a = ["Kekegahes University of Agriculture, Vietnam", "Kekegahes Univ. of Agric., Viet Nam", "Agriculture University, Kekegahes, Vietnam", "The Kekegahes University of Agriculture Vietnam", "KEKEGAHES UNIV AGR, VIETNAM", "Kekegahs Univeristy of Agriculture, Vietnam", "Univ. of Agriculture, Kekegahes", "Kékegahes University of Agriculture (KUA), Vietnam"]
     b = ["Kekegahes University of Medicine, Vietnam"]
