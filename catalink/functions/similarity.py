@@ -1,235 +1,51 @@
-"""Similarities of strings: native where a built-in exists, else Arrow batches.
+"""Similarities of strings: native where a built-in exists, else kernels over Arrow batches.
 
-Bit-parallel longest common subsequence and approximate search work on Python
-integers of any width; one call scores a whole Arrow batch. Null on either
-side gives the worst score, equal strings the best, and an empty denominator 0.
+The functions below hand a whole batch to ``kernels``; words are paired for all
+rows at once, and every different pair of words is looked at once. Null on
+either side gives the worst score, equal strings the best, and an empty
+denominator 0.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from catalink.functions.kernels import Ragged, common_by, common_lengths, common_places, edit_distances, nearest_places, numbered_words
 from catalink.functions.text import STOP_WORDS, ascii_fold, clean, word_tokens
 
-_STOP = frozenset(STOP_WORDS)
-
-# plain Python, for one pair ----------------------------------------------------
-
-
-def lcs_length(a, b) -> int:
-    """Length of the longest common subsequence of two sequences."""
-    if len(a) < len(b):
-        a, b = b, a
-    masks: dict = {}
-    for i, x in enumerate(b):
-        masks[x] = masks.get(x, 0) | 1 << i
-    full = (1 << len(b)) - 1
-    row = full
-    for x in a:
-        hit = row & masks.get(x, 0)
-        row = (row + hit | row - hit) & full
-    return len(b) - row.bit_count()
-
-
-def lcs_string(a, b) -> list:
-    """One longest common subsequence; going back, up only if that is longer."""
-    table = [[0] * (len(b) + 1)]
-    for x in a:
-        before, row = table[-1], [0]
-        for j, y in enumerate(b):
-            row.append(before[j] + 1 if x == y else max(before[j + 1], row[j]))
-        table.append(row)
-    out, i, j = [], len(a), len(b)
-    while i and j:
-        if a[i - 1] == b[j - 1]:
-            out.append(a[i - 1])
-            i, j = i - 1, j - 1
-        elif table[i - 1][j] > table[i][j - 1]:
-            i -= 1
-        else:
-            j -= 1
-    return out[::-1]
-
-
-def edit_distance(a, b) -> int:
-    """Levenshtein distance of two sequences."""
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        corner, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            corner, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, corner + (x != y))
-    return row[-1]
-
-
-def maybe_same_word(a: str, b: str) -> bool:
-    """One begins with the other, or both begin alike and nearly all letters agree."""
-    short, long = (a, b) if len(a) < len(b) else (b, a)
-    return long.startswith(short) or (short[:1] == long[:1] and lcs_length(long, short) > 0.9 * len(short))
-
-
-def paired_tokens(a: list[str], b: list[str]) -> tuple[list[int], list[int]]:
-    """Words as numbers, those of ``b`` that are a word of ``a`` by the same one.
-
-    For each new word of ``a`` the likeliest word of ``b`` (nearest in length,
-    the first of equals) gets its number, also if it had one.
-    """
-    ids_a: dict[str, int] = {}
-    ids_b: dict[str, int] = {}
-    for w in a:
-        if w in ids_a:
-            continue
-        ids_a[w] = len(ids_a)
-        best, found = 0.0, None
-        for v in b:
-            if maybe_same_word(w, v):
-                ratio = min(len(w), len(v)) / max(len(w), len(v))
-                if ratio > best:
-                    best, found = ratio, v
-        if found is not None:
-            ids_b[found] = ids_a[w]
-    fresh = len(ids_a)
-    out_b = []
-    for v in b:
-        if v not in ids_b:
-            ids_b[v], fresh = fresh, fresh + 1
-        out_b.append(ids_b[v])
-    return [ids_a[w] for w in a], out_b
-
-
-def _token_score(a, b, measure: Callable[[list[int], list[int]], float]) -> float:
-    if a is None or b is None:
-        return 0.0
-    if list(a) == list(b):
-        return 1.0 if len(a) else 0.0
-    x, y = paired_tokens(list(a), list(b))
-    return measure(x, y) if x and y else 0.0
-
-
-def shingles(x: list[int], k: int = 3) -> set[tuple[int, ...]]:
-    return {tuple(x[i : i + k]) for i in range(len(x) - k + 1)}
-
-
-def _jaccard(x: list[int], y: list[int]) -> float:
-    p, q = shingles(x), shingles(y)
-    return len(p & q) / len(p | q) if p | q else 0.0
-
-
-def org_similarity(a, b, tokens_a, tokens_b, option: str = "subsequence") -> float:
-    """Similarity of two organisation names by their words.
-
-    0 if either has two words or fewer, if one has at most half as many (whole
-    division) as the other, or if the last words differ; then the common
-    subsequence by the shorter, or (``std``) the spread of its places in the
-    longer.
-    """
-    if a is None or b is None:
-        return 0.0
-    if a == b:
-        return 1.0
-    x, y = paired_tokens(list(tokens_a), list(tokens_b))
-    if len(x) <= 2 or len(y) <= 2 or len(x) <= len(y) // 2 or len(y) <= len(x) // 2 or x[-1] != y[-1]:
-        return 0.0
-    short, long = (x, y) if len(x) < len(y) else (y, x)
-    if option == "subsequence":
-        return lcs_length(short, long) / len(short)
-    if option == "std":
-        at = [long.index(t) for t in lcs_string(short, long)]
-        mean = sum(at) / len(at)
-        return (sum((i - mean) ** 2 for i in at) / len(at)) ** 0.5
-    return 0.0
-
-
-def approx_find(text: str | None, pattern: str | None, error: float) -> tuple[int, float]:
-    """Leftmost place where ``pattern`` stands in ``text`` with the fewest errors.
-
-    An exact occurrence gives (place, 1); else the fewest edits d up to
-    ``error`` times the pattern's length, the leftmost begin with that many, and
-    1 - d / length; (-1, 0) if there is none. Patterns of any length.
-    """
-    if text is None or pattern is None:
-        return -1, 0.0
-    at = text.find(pattern)
-    if at >= 0:
-        return at, 1.0
-    m = len(pattern)
-    most = int(error * m)
-    if not most:
-        return -1, 0.0
-    # columns of the edit table, with the begin of the best match of each cell
-    cost, begin = list(range(m + 1)), [0] * (m + 1)
-    best = (most + 1, -1)
-    for j, c in enumerate(text, 1):
-        last_cost, last_begin = cost[0], begin[0]
-        cost[0], begin[0] = 0, j
-        for i in range(1, m + 1):
-            options = ((last_cost + (pattern[i - 1] != c), last_begin), (cost[i] + 1, begin[i]), (cost[i - 1] + 1, begin[i - 1]))
-            last_cost, last_begin = cost[i], begin[i]
-            cost[i], begin[i] = min(options)
-        best = min(best, (cost[m], begin[m]))
-    return (best[1], 1 - best[0] / m) if best[0] <= most else (-1, 0.0)
-
-
-_SPLIT = re.compile(r"[ \t\n\r\f\-&.,:()=\[\]'/]+")
-
-
-def metta_words(text: str, single: bool) -> list[str]:
-    """Words that are no stop word and no number; or single characters."""
-    if single:
-        return list(text)
-    return [w for w in _SPLIT.split(text.lower()) if w and w not in _STOP and not w.isdigit()]
-
-
-def metta_similarity(a: str | None, b: str | None, char_check: bool = True, single: bool = False) -> float:
-    """Common subsequence of words by the fewer words; words match by prefix.
-
-    With ``char_check`` words of other than word characters match if their
-    characters do, by more than 0.8.
-    """
-    if a is None or b is None:
-        return 0.0
-    x, y = metta_words(a, single), metta_words(b, single)
-    if not x or not y:
-        return 0.0
-
-    def equal(s: str, t: str) -> bool:
-        if not char_check or (re.fullmatch(r"\w+", s, re.A) and re.fullmatch(r"\w+", t, re.A)):
-            return s.startswith(t) or t.startswith(s)
-        return metta_similarity(s, t, False, True) > 0.8
 
-    row = [0] * (len(y) + 1)
-    for s in x:
-        corner = 0
-        for j, t in enumerate(y, 1):
-            up = row[j]
-            row[j] = corner + 1 if equal(s, t) else max(up, row[j - 1])
-            corner = up
-    return row[-1] / min(len(x), len(y))
+def _both(a: pd.Series, b: pd.Series) -> np.ndarray:
+    """Rows in which neither is null."""
+    return np.flatnonzero((a.notna() & b.notna()).to_numpy())
 
 
-# Arrow batches -----------------------------------------------------------------
+def _texts(x: pd.Series, rows: np.ndarray) -> list[str]:
+    return x.iloc[rows].tolist()
 
 
-def _none(x):
-    return None if x is None or x is pd.NA or isinstance(x, float) else x
+# characters ----------------------------------------------------------------------
 
 
 @pandas_udf(LongType())
 def lcs_len(a: pd.Series, b: pd.Series) -> pd.Series:
     """Length of the longest common subsequence of characters; null if either is."""
-    return pd.Series([None if x is None or y is None else lcs_length(x, y) for x, y in zip(a, b)], dtype="Int64")
+    rows = _both(a, b)
+    out = pd.Series(pd.NA, index=range(len(a)), dtype="Int64")
+    out.iloc[rows] = common_lengths(Ragged.of_texts(_texts(a, rows)), Ragged.of_texts(_texts(b, rows)))
+    return out
 
 
 @pandas_udf(StringType())
 def lcs_text(a: pd.Series, b: pd.Series) -> pd.Series:
     """One longest common subsequence of characters; null if either is null."""
-    return pd.Series([None if x is None or y is None else "".join(lcs_string(x, y)) for x, y in zip(a, b)])
+    return pd.Series([None if x is None or y is None else "".join([y[j] for j in common_places(x, y)]) for x, y in zip(a, b)])
 
 
 def lcs_sim(a: Column, b: Column) -> Column:
@@ -245,24 +61,82 @@ def title_sim(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(lcs_sim(fold(a), fold(b)))
 
 
-@pandas_udf(DoubleType())
-def _token_lcs(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_token_score(_none(x), _none(y), lambda p, q: lcs_length(p, q) / max(len(p), len(q))) for x, y in zip(a, b)])
+@pandas_udf(StructType([StructField("place", IntegerType()), StructField("similarity", DoubleType())]))
+def _find(text: pd.Series, pattern: pd.Series, error: pd.Series) -> pd.DataFrame:
+    rows = _both(text, pattern)
+    t, p = _texts(text, rows), _texts(pattern, rows)
+    exact = np.fromiter((x.find(y) for x, y in zip(t, p)), np.int64, len(t))
+    size = np.fromiter(map(len, p), np.int64, len(p))
+    most = np.where(exact < 0, (error.to_numpy()[rows] * size).astype(np.int64), 0)
+    place, edits = nearest_places(t, p, most)
+    out = pd.DataFrame({"place": np.full(len(text), -1, np.int32), "similarity": np.zeros(len(text))})
+    score = np.where(exact >= 0, 1.0, np.where(place >= 0, 1 - edits / np.maximum(size, 1), 0.0))
+    out.iloc[rows, 0], out.iloc[rows, 1] = np.where(exact >= 0, exact, place).astype(np.int32), score
+    return out
 
 
-@pandas_udf(DoubleType())
-def _token_lcs_relaxed(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_token_score(_none(x), _none(y), lambda p, q: lcs_length(p, q) / min(len(p), len(q))) for x, y in zip(a, b)])
+def find_approx(text: Column, pattern: Column, error: float) -> Column:
+    """struct(place, similarity): the leftmost place where ``pattern`` stands in
+    ``text`` with the fewest errors.
 
+    An exact occurrence gives (place, 1); else the fewest edits d up to
+    ``error`` times the pattern's length, the leftmost begin with that many, and
+    1 - d / length; (-1, 0) if there is none. Patterns of any length.
+    """
+    return _find(text, pattern, F.lit(float(error)))
 
-@pandas_udf(DoubleType())
-def _token_lev(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_token_score(_none(x), _none(y), lambda p, q: 1 - edit_distance(p, q) / max(len(p), len(q))) for x, y in zip(a, b)])
 
+# words ---------------------------------------------------------------------------
+
+
+def _paired_score(a: list, b: list, measure: Callable[[Ragged, Ragged], np.ndarray]) -> np.ndarray:
+    """``measure`` of the numbered words of every pair; equal lists 1, an empty one 0."""
+    x, y = numbered_words(a, b)
+    out = np.fromiter((len(p) == len(q) and list(p) == list(q) for p, q in zip(a, b)), np.float64, len(a))
+    rows = np.flatnonzero((out == 0) & (x.size > 0) & (y.size > 0))
+    out[(x.size == 0) | (y.size == 0)] = 0.0
+    out[rows] = measure(x.take(rows), y.take(rows))
+    return out
+
+
+def _by_longer(x: Ragged, y: Ragged) -> np.ndarray:
+    return common_lengths(x, y) / np.maximum(x.size, y.size)
+
+
+def _by_shorter(x: Ragged, y: Ragged) -> np.ndarray:
+    return common_lengths(x, y) / np.minimum(x.size, y.size)
 
-@pandas_udf(DoubleType())
-def _token_jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_token_score(_none(x), _none(y), _jaccard) for x, y in zip(a, b)])
+
+def _by_edits(x: Ragged, y: Ragged) -> np.ndarray:
+    return 1 - edit_distances(x, y) / np.maximum(x.size, y.size)
+
+
+def _by_threes(x: Ragged, y: Ragged) -> np.ndarray:
+    """Shared runs of three words by all such runs; 0 if there are none."""
+
+    def runs(r: Ragged) -> np.ndarray:
+        row = np.repeat(np.arange(len(r.size)), r.size)
+        at = np.flatnonzero(row[2:] == row[:-2]) if len(row) > 2 else np.empty(0, np.int64)
+        return np.stack([row[at], r.flat[at], r.flat[at + 1], r.flat[at + 2]], axis=1)
+
+    p, q = np.unique(runs(x), axis=0), np.unique(runs(y), axis=0)
+    every, n = np.unique(np.concatenate([p, q]), axis=0, return_counts=True)
+    count = lambda r: np.bincount(r[:, 0].astype(np.int64), minlength=len(x.size))
+    return count(every[n > 1]) / np.maximum(count(every), 1)
+
+
+def _word_udf(measure: Callable[[Ragged, Ragged], np.ndarray]):
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        rows = _both(a, b)
+        out = np.zeros(len(a))
+        out[rows] = _paired_score(_texts(a, rows), _texts(b, rows), measure)
+        return pd.Series(out)
+
+    run.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
+    return pandas_udf(run, DoubleType())
+
+
+_token_lcs, _token_lcs_relaxed, _token_lev, _token_jaccard = (_word_udf(m) for m in (_by_longer, _by_shorter, _by_edits, _by_threes))
 
 
 def _guarded(score: Callable[[Column, Column], Column]) -> Callable[[Column, Column], Column]:
@@ -279,42 +153,102 @@ token_lcs_sim_relaxed = _guarded(_token_lcs_relaxed)
 token_lev_sim = _guarded(_token_lev)
 token_jaccard = _guarded(_token_jaccard)
 
+PREFIX_WORD_SPLIT = "[ \\t\\n\\r\\f\\-&.,:()=\\[\\]'/]+"
 
-@pandas_udf(DoubleType())
-def _org(a: pd.Series, b: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
-    return pd.Series([org_similarity(p, q, s, t) for p, q, s, t in zip(a, b, x, y)])
+
+def _matching(words: list[str], pairs: np.ndarray) -> np.ndarray:
+    """Which pairs of words match: one begins with the other; where either holds
+    more than word characters, four fifths of the shorter stand in the other."""
+    plain = np.fromiter((w.isascii() and w.replace("_", "a").isalnum() for w in words), bool, len(words))
+    x, y = pairs[:, 0], pairs[:, 1]
+    out = np.fromiter((words[p].startswith(words[q]) or words[q].startswith(words[p]) for p, q in zip(x, y)), bool, len(x))
+    rest = np.flatnonzero(~(plain[x] & plain[y]))
+    p, q = Ragged.of_texts([words[k] for k in x[rest]]), Ragged.of_texts([words[k] for k in y[rest]])
+    out[rest] = common_lengths(p, q) > 0.8 * np.minimum(p.size, q.size)
+    return out
 
 
 @pandas_udf(DoubleType())
-def _org_std(a: pd.Series, b: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
-    return pd.Series([org_similarity(p, q, s, t, "std") for p, q, s, t in zip(a, b, x, y)])
+def _prefix_words(a: pd.Series, b: pd.Series) -> pd.Series:
+    out = np.zeros(len(a))
+    rows = _both(a, b)
+    rows = rows[np.fromiter((len(x) > 0 and len(y) > 0 for x, y in zip(_texts(a, rows), _texts(b, rows))), bool, len(rows))]
+    codes, words = pd.factorize(np.array([w for c in (a, b) for x in _texts(c, rows) for w in x], object))
+    n = np.fromiter(map(len, _texts(a, rows)), np.int64, len(rows))
+    m = np.fromiter(map(len, _texts(b, rows)), np.int64, len(rows))
+    x, y = Ragged(codes[: n.sum()], n), Ragged(codes[n.sum() :], m)
+    order = np.lexsort((n, m))
+    at = 0
+    while at < len(order):
+        part = order[at : at + max(1, 200_000 // max(1, int(n[order[at]] * m[order[at]])))]
+        at += len(part)
+        steps, width = int(n[part].max()), -(-int(m[part].max()) // 64) * 64
+        p, q = x.padded(part, steps, -1), y.padded(part, width, -1)
+        # every different pair of words of the part is compared once
+        inside = (p[:, :, None] >= 0) & (q[:, None, :] >= 0)
+        key = (p[:, :, None].astype(np.int64) * len(words) + q[:, None, :])[inside]
+        distinct, which = np.unique(key, return_inverse=True)
+        equal = np.zeros(inside.shape, bool)
+        equal[inside] = _matching(words, np.stack([distinct // len(words), distinct % len(words)], axis=1))[which]
+        out[rows[part]] = common_by(lambda k, e=equal: e[:, k], steps, len(part), width) / np.minimum(n[part], m[part])
+    return pd.Series(out)
+
+
+def prefix_word_sim(a: Column, b: Column) -> Column:
+    """Common subsequence of the words that are no stop word and no number, by
+    the fewer words; words match by prefix, or by their characters."""
+    cut = lambda x: F.filter(F.split(F.lower(x), PREFIX_WORD_SPLIT), lambda w: (w != "") & ~w.isin(*STOP_WORDS) & ~w.rlike("^\\p{Nd}+$"))
+    return _prefix_words(cut(a), cut(b))
+
+
+# names ---------------------------------------------------------------------------
+
+
+def _comparable(a: list, b: list) -> tuple[Ragged, Ragged, np.ndarray]:
+    """Numbered words of organisation names, and the rows that may be compared:
+    more than two words on either side, neither half as long (whole division) as
+    the other or less, and the last words the same."""
+    x, y = numbered_words(a, b)
+    sizes = (x.size > 2) & (y.size > 2) & (x.size > y.size // 2) & (y.size > x.size // 2)
+    rows = np.flatnonzero(sizes)
+    last = lambda r: r.flat[r.begin[rows] + r.size[rows] - 1]
+    return x, y, rows[last(x) == last(y)]
+
+
+def _spread(x: np.ndarray, y: np.ndarray) -> float:
+    """Standard deviation of where the common words stand in the longer name."""
+    short, long = (x.tolist(), y.tolist()) if len(x) < len(y) else (y.tolist(), x.tolist())
+    return float(np.std([long.index(long[j]) for j in common_places(short, long)]))
+
+
+def _names_udf(score: Callable[[Ragged, Ragged], np.ndarray]):
+    def run(a: pd.Series, b: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        both = _both(a, b)
+        p, q, rows = _comparable(_texts(x, both), _texts(y, both))
+        out = np.zeros(len(a))
+        out[both[rows]] = score(p.take(rows), q.take(rows))
+        out[(a == b).fillna(False).to_numpy(bool)] = 1.0
+        return pd.Series(out)
+
+    run.__annotations__ = {"a": pd.Series, "b": pd.Series, "x": pd.Series, "y": pd.Series, "return": pd.Series}
+    return pandas_udf(run, DoubleType())
+
+
+_org = _names_udf(_by_shorter)
+_org_spread = _names_udf(lambda x, y: np.array([_spread(x[k], y[k]) for k in range(len(x.size))]))
 
 
 def org_name_sim(a: Column, b: Column, option: str = "subsequence") -> Column:
-    """Similarity of organisation names; the sizes are compared before Python runs."""
+    """Similarity of organisation names: common words by the shorter name, or
+    (``std``) the spread of their places in the longer. The sizes are compared
+    before Python runs."""
     x, y = word_tokens(a), word_tokens(b)
     n, m = F.size(x), F.size(y)
     hopeless = (n <= 2) | (m <= 2) | (n <= F.floor(m / 2)) | (m <= F.floor(n / 2))
-    score = (_org if option == "subsequence" else _org_std)(a, b, x, y)
+    score = (_org if option == "subsequence" else _org_spread)(a, b, x, y)
     return F.when(a.isNull() | b.isNull(), 0.0).when(a == b, 1.0).when(hopeless, 0.0).otherwise(score)
 
 
-@pandas_udf(StructType([StructField("place", IntegerType()), StructField("similarity", DoubleType())]))
-def _find(text: pd.Series, pattern: pd.Series, error: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([approx_find(t, p, e) for t, p, e in zip(text, pattern, error)], columns=["place", "similarity"])
-
-
-def find_approx(text: Column, pattern: Column, error: float) -> Column:
-    """struct(place, similarity) of the best approximate occurrence."""
-    return _find(text, pattern, F.lit(float(error)))
-
-
-@pandas_udf(DoubleType())
-def metta_sim(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Similarity of words by prefix or characters, by the fewer words."""
-    return pd.Series([metta_similarity(x, y) for x, y in zip(a, b)])
-
-
 def lev_sim(a: Column, b: Column) -> Column:
     """1 - edit distance by the longer string; both empty give 0."""
     n = F.greatest(F.length(a), F.length(b))
@@ -341,19 +275,17 @@ def same_person_name(a: Column, b: Column, distance: float = 0.4) -> Column:
 
 @pandas_udf(LongType())
 def _people_met(a: pd.Series, b: pd.Series, x: pd.Series, y: pd.Series, least: pd.Series) -> pd.Series:
-    known: dict[tuple[str, str], bool] = {}
-
-    def alike(p, q, s, t, at_least) -> bool:
-        if p is None or q is None:
-            return False
-        if (p, q) not in known:
-            known[p, q] = p == q or _token_score(s, t, lambda m, n: lcs_length(m, n) / max(len(m), len(n))) >= at_least
-        return known[p, q]
-
-    def met(names, others, words, other_words, at_least) -> int:
-        return sum(any(alike(p, q, s, t, at_least) for p, s in zip(names, words)) for q, t in zip(others, other_words))
-
-    return pd.Series([None if p is None or q is None else met(p, q, s, t, k) for p, q, s, t, k in zip(a, b, x, y, least)], dtype="Int64")
+    rows = _both(a, b)
+    out = pd.Series(pd.NA, index=range(len(a)), dtype="Int64")
+    at_least = float(least.iloc[0]) if len(least) else 1.0
+    words = {n: w for names, lists in ((a, x), (b, y)) for row in rows for n, w in zip(names.iloc[row], lists.iloc[row]) if n is not None}
+    # every different pair of names is scored once
+    pairs = {(p, q): p == q for row in rows for p in a.iloc[row] for q in b.iloc[row] if p is not None and q is not None}
+    open_ = [pq for pq, same in pairs.items() if not same]
+    scores = _paired_score([words[p] for p, _ in open_], [words[q] for _, q in open_], _by_longer)
+    pairs.update(zip(open_, scores >= at_least))
+    out.iloc[rows] = [sum(any(pairs.get((p, q), False) for p in a.iloc[row]) for q in b.iloc[row]) for row in rows]
+    return out
 
 
 def people_met(a: Column, b: Column, distance: float = 0.4) -> Column:
@@ -368,7 +300,7 @@ def register(spark: SparkSession) -> list[str]:
 
     Token functions take arrays of words, as ``word_tokens`` gives them.
     """
-    functions = {"lcs_len": lcs_len, "lcs_text": lcs_text, "metta_sim": metta_sim, "approx_find": _find, "token_lcs": _token_lcs, "token_lev": _token_lev, "token_jaccard": _token_jaccard, "org_sim": _org}
+    functions = {"lcs_len": lcs_len, "lcs_text": lcs_text, "prefix_words": _prefix_words, "approx_find": _find, "token_lcs": _token_lcs, "token_lev": _token_lev, "token_jaccard": _token_jaccard, "org_sim": _org}
     for name, function in functions.items():
         spark.udf.register(name, function)
     return list(functions)

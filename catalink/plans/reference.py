@@ -173,7 +173,7 @@ def shingle_pairs(spark: SparkSession, base: str) -> DataFrame:
 
 def token_pairs(spark: SparkSession, base: str) -> DataFrame:
     a, b = F.col("journal"), F.col("r_journal")
-    return _pairs(spark, base, token_lcs=_score(sim.token_lcs_sim(a, b)), relaxed=_score(sim.token_lcs_sim_relaxed(a, b)), token_lev=_score(sim.token_lev_sim(a, b)), token_jaccard=_score(sim.token_jaccard(a, b)), metta=_score(sim.metta_sim(a, b)), close=sim.token_lcs_sim(a, b) >= 0.9)
+    return _pairs(spark, base, token_lcs=_score(sim.token_lcs_sim(a, b)), relaxed=_score(sim.token_lcs_sim_relaxed(a, b)), token_lev=_score(sim.token_lev_sim(a, b)), token_jaccard=_score(sim.token_jaccard(a, b)), prefix_words=_score(sim.prefix_word_sim(a, b)), close=sim.token_lcs_sim(a, b) >= 0.9)
 
 
 def org_pairs(spark: SparkSession, base: str) -> DataFrame:

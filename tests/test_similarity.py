@@ -1,56 +1,83 @@
+import random
+
+import numpy as np
+import plain
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from catalink.functions import similarity as sim
+from catalink.functions.kernels import Ragged, common_lengths, common_places, edit_distances, nearest_places, numbered_words
 
 
-def slow_lcs(a, b):
-    row = [0] * (len(b) + 1)
-    for x in a:
-        corner = 0
-        for j, y in enumerate(b, 1):
-            up = row[j]
-            row[j] = corner + 1 if x == y else max(up, row[j - 1])
-            corner = up
-    return row[-1]
+short = st.text("abcd", max_size=14)
 
 
-short = st.text("abcd", max_size=14)
+@given(st.lists(st.tuples(st.text("abcdé ", max_size=150), st.text("abcdé ", max_size=150)), max_size=8))
+@settings(max_examples=100, deadline=None)
+def test_kernels(pairs):
+    a, b = ([p[k] for p in pairs] for k in (0, 1))
+    x, y = Ragged.of_texts(a), Ragged.of_texts(b)
+    assert common_lengths(x, y).tolist() == [plain.lcs_length(p, q) for p, q in pairs]
+    assert edit_distances(x, y).tolist() == [plain.edit_distance(p, q) for p, q in pairs]
+    assert [[q[j] for j in common_places(p, q)] for p, q in pairs] == [plain.lcs_string(p, q) for p, q in pairs]
+
+
+def test_kernels_of_long_texts():
+    rng = random.Random(2)
+    a, b = ("".join(rng.choices("abcdefgh", k=n)) for n in (2500, 3100))
+    assert common_lengths(Ragged.of_texts([a, "x", ""]), Ragged.of_texts([b, "axa", "y"])).tolist() == [plain.lcs_length(a, b), 1, 0]
+    long = "".join(rng.choices("abcdefgh", k=60_000))
+    assert common_lengths(Ragged.of_texts([long]), Ragged.of_texts([long[100:]])).tolist() == [59_900]
+
+
+@given(st.lists(st.tuples(short, st.text("abcd", min_size=1, max_size=6)), max_size=6), st.sampled_from([0.2, 0.34, 0.5]))
+@settings(max_examples=150, deadline=None)
+def test_nearest_places(pairs, error):
+    t, p = ([x[k] for x in pairs] for k in (0, 1))
+    open_ = np.array([0 if y in x else int(error * len(y)) for x, y in pairs], np.int64)
+    place, edits = nearest_places(t, p, open_)
+    for x, y, k, d in zip(t, p, place, edits):
+        expected = plain.approx_find(x, y, error)
+        assert y in x or expected == ((k, pytest.approx(1 - d / len(y))) if k >= 0 else (-1, 0.0))
+
+
+def test_find_cases(frame):
+    rows = [("ABCDEF", "BED"), ("x" * 300 + "a" * 90 + "b" + "a" * 9, "a" * 100), (None, "a"), ("abc", ""), ("", "a")]
+    got = [tuple(r[0]) for r in frame(rows, "a string, b string").select(sim.find_approx(F.col("a"), F.col("b"), 0.34)).collect()]
+    assert got == [(1, pytest.approx(2 / 3)), (300, pytest.approx(0.99)), (-1, 0.0), (0, 1.0), (-1, 0.0)]
 
 
-@given(short, short)
-@settings(max_examples=300, deadline=None)
-def test_lcs(a, b):
-    n = sim.lcs_length(a, b)
-    assert n == slow_lcs(a, b) == sim.lcs_length(b, a) == len(sim.lcs_string(a, b))
-    assert n <= min(len(a), len(b)) and sim.lcs_length(a, a) == len(a)
+WORDS = ["res", "research", "resear", "journal", "jour", "journals", "abcdefghijk1", "abcdefghijk2", "x", "xy", "fundstatistik", "c++", "c+"]
+lists = st.lists(st.sampled_from(WORDS), max_size=7)
 
 
-@given(short, st.text("abcd", min_size=1, max_size=6), st.sampled_from([0.2, 0.34, 0.5]))
-@settings(max_examples=300, deadline=None)
-def test_approx_find_has_the_fewest_errors(text, pattern, error):
-    place, score = sim.approx_find(text, pattern, error)
-    fewest = min(sim.edit_distance(text[i:j], pattern) for i in range(len(text) + 1) for j in range(i, len(text) + 1))
-    if fewest == 0:
-        assert (place, score) == (text.index(pattern), 1.0)
-    elif fewest <= int(error * len(pattern)):
-        assert score == pytest.approx(1 - fewest / len(pattern))
-        assert fewest in [sim.edit_distance(text[place:j], pattern) for j in range(place, len(text) + 1)]
-    else:
-        assert (place, score) == (-1, 0.0)
+@given(st.lists(st.tuples(lists, lists), max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_numbered_words(pairs):
+    x, y = numbered_words([p for p, _ in pairs], [q for _, q in pairs])
 
+    def in_order(a, b):
+        seen = {}
+        return [seen.setdefault(v, len(seen)) for v in [*a, *b]]
 
-def test_approx_find_case():
-    assert sim.approx_find("ABCDEF", "BED", 0.34) == (1, pytest.approx(2 / 3))
-    assert sim.approx_find("x" * 300 + "a" * 90 + "b" + "a" * 9, "a" * 100, 0.1)[1] == pytest.approx(0.99)
-    assert sim.approx_find(None, "a", 0.5) == (-1, 0.0)
+    for k, (p, q) in enumerate(pairs):
+        assert in_order(x[k], y[k]) == in_order(*plain.paired_tokens(p, q))
 
 
-def test_paired_tokens():
-    assert sim.paired_tokens("res research".split(), ["research"]) == ([0, 1], [1])
-    assert sim.paired_tokens("journal jour".split(), ["journals"]) == ([0, 1], [1])
+def test_batches_of_words(frame):
+    rng = random.Random(4)
+    rows = [(rng.choices(WORDS, k=rng.randint(0, 7)), rng.choices(WORDS, k=rng.randint(0, 7))) for _ in range(400)] + [(None, ["x"]), (["x"], None)]
+    rows += [(x, x) for x, _ in rows[:20]]
+    df = frame([(i, *r) for i, r in enumerate(rows)], "i int, a array<string>, b array<string>")
+    got = df.select("i", *(f(F.col("a"), F.col("b")).alias(n) for n, f in (("lcs", sim._token_lcs), ("relaxed", sim._token_lcs_relaxed), ("lev", sim._token_lev), ("threes", sim._token_jaccard), ("prefix", sim._prefix_words)))).orderBy("i").collect()
+    for r, (a, b) in zip(got, rows):
+        prefix = plain.prefix_words(a, b) if a and b else 0.0
+        assert tuple(r)[1:] == pytest.approx((plain.token_lcs(a, b), plain.token_lcs_relaxed(a, b), plain.token_lev(a, b), plain.token_jaccard(a, b), prefix))
+    names = df.where("a is not null and b is not null").select("i", "a", "b", F.array_join("a", " ").alias("p"), F.array_join("b", " ").alias("q"))
+    for r in names.select("*", sim._org("p", "q", "a", "b").alias("same"), sim._org_spread("p", "q", "a", "b").alias("spread")).collect():
+        assert (r["same"], r["spread"]) == pytest.approx((plain.organisation(r["p"], r["q"], r["a"], r["b"]), plain.organisation(r["p"], r["q"], r["a"], r["b"], True)))
 
 
 CASES = [
@@ -73,8 +100,8 @@ CASES = [
     ("title_sim", None, "ete", 0.0),
     ("char_shingle_jaccard", "abcd", "abce", 1 / 3),
     ("char_shingle_jaccard", "ab", "ab", 0.0),
-    ("metta_sim", "Digital Libraries 2018", "dig lib", 1.0),
-    ("metta_sim", "", "x", 0.0),
+    ("prefix_word_sim", "Digital Libraries 2018", "dig lib", 1.0),
+    ("prefix_word_sim", "", "x", 0.0),
 ]
 
 
