@@ -1,20 +1,25 @@
 """Candidate join: an inverted index of title words and a ranked top k.
 
-Scores are BM25 with statistics over the whole right side. Rare words find the
-candidates; how much the frequent ones can add is known beforehand, so a left
-record whose k-th score by rare words already exceeds what any other right
-record can reach by frequent words needs no look at their long lists. Only the
-left records for which that fails join the whole index. The result is exactly
-the top k.
+Scores are BM25 with statistics over the whole right side; the result is exactly
+the top k. For every left record its rarest words give k first candidates and so
+a score that any other must reach. Words which even together cannot reach it
+need not be looked up: a right record that shares only those is out. The lists
+of the others are joined, and what falls short with all that is missing added
+is dropped before the remaining words are looked up by record. An index that is
+small enough is sent to every worker and summed there in arrays.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalink.functions.text import search_terms
-from catalink.sources.tables import broadcast_if_small, staged
+from catalink.sources.tables import staged, stored_bytes
 
 K1, B = 1.2, 0.75
 
@@ -30,54 +35,82 @@ def _weight(n: Column, average: Column) -> Column:
     return idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / average))
 
 
-def candidates(left: DataFrame, right: DataFrame, k: int = 10, frequent: float = 0.1, least: int = 50, broadcast: int = 2_000_000, lk: str = "id", lt: str = "title", rk: str = "id", rt: str = "title") -> DataFrame:
+def _in_arrays(words: DataFrame, weighed: DataFrame, k: int) -> DataFrame:
+    """The top k of every left record, from an index that every worker holds."""
+    index = weighed.select("term", "key", "w").toPandas().sort_values(["term", "key"])
+    keys, place = np.unique(index["key"].to_numpy(), return_inverse=True)
+    terms, begin = np.unique(index["term"].to_numpy(str), return_index=True)
+    ends = np.append(begin, len(index))
+    held = words.sparkSession.sparkContext.broadcast((dict(zip(terms.tolist(), range(len(terms)))), ends, place.astype(np.int32), index["w"].to_numpy(), keys))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, ends, place, weight, keys = held.value
+        for b in batches:
+            lefts, rights, scores, ranks = [], [], [], []
+            for left, found, times in zip(b["left_id"], b["terms"], b["times"]):
+                lists = [(number[t], q) for t, q in zip(found, times) if t in number]
+                if not lists:
+                    continue
+                cut = [slice(ends[n], ends[n + 1]) for n, _ in lists]
+                # all sums of one record at once; a right record is a place in the array
+                score = np.bincount(np.concatenate([place[c] for c in cut]), np.concatenate([weight[c] * q for c, (_, q) in zip(cut, lists)]), len(keys))
+                least = np.partition(score, len(score) - k)[len(score) - k] - 1e-5 if len(score) > k else 0.0
+                near = np.flatnonzero((score >= least) & (score > 0))
+                near = near[np.lexsort((near, -np.round(score[near], 6)))][:k]
+                lefts.append(np.full(len(near), left))
+                rights.append(keys[near])
+                scores.append(score[near])
+                ranks.append(np.arange(1, len(near) + 1, dtype=np.int32))
+            if lefts:
+                yield pd.DataFrame({n: np.concatenate(x) for n, x in (("left_id", lefts), ("right_id", rights), ("score", scores), ("rank", ranks))})
+
+    kinds = dict(words.dtypes)["left_id"], dict(weighed.dtypes)["key"]
+    rows = words.groupBy("left_id").agg(F.collect_list(F.struct("term", "qf")).alias("x")).select("left_id", F.col("x.term").alias("terms"), F.col("x.qf").alias("times"))
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = rows.repartition(parts, "left_id").mapInPandas(run, f"left_id {kinds[0]}, right_id {kinds[1]}, score double, rank int")
+    return found.withColumn("score", F.round("score", 6))
+
+
+def _by_needed_words(words: DataFrame, weighed: DataFrame, k: int) -> DataFrame:
+    """The same by joins, over an index of any size."""
+    stats = weighed.groupBy("term").agg(F.count("*").alias("df"), F.max("w").alias("top"))
+    own = Window.partitionBy("left_id")
+    known = words.join(stats, "term").withColumn("most", F.col("qf") * F.col("top"))
+    before = F.sum("df").over(own.orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1))
+    below = F.sum("most").over(own.orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0))
+    known = staged(known.withColumn("first", F.coalesce(before, F.lit(0)) < 4 * k).withColumn("below", below), "words")
+    lists = weighed.select("term", F.col("key").alias("right_id"), "w")
+
+    def summed(some: DataFrame) -> DataFrame:
+        return some.select("left_id", "term", "qf").join(lists, "term").groupBy("left_id", "right_id").agg(F.sum(F.col("qf") * F.col("w")).alias("s"))
+
+    place = F.row_number().over(own.orderBy(F.desc("s"), "right_id"))
+    least = summed(known.where("first")).withColumn("p", place).where(F.col("p") == k).select("left_id", F.col("s").alias("least"))
+    least = staged(least, "least")
+    known = staged(known.join(least, "left_id", "left").withColumn("needed", F.col("least").isNull() | (F.col("below") + 1e-5 >= F.col("least"))), "needed")
+    missing = known.where("not needed").groupBy("left_id").agg(F.sum("most").alias("missing"))
+    reached = summed(known.where("needed")).join(least, "left_id", "left").join(missing, "left_id", "left")
+    reached = staged(reached.where(F.col("least").isNull() | (F.col("s") + F.coalesce("missing", F.lit(0.0)) + 1e-5 >= F.col("least"))).select("left_id", "right_id", "s"), "reached")
+    rest = reached.select("left_id", "right_id").join(known.where("not needed").select("left_id", "term", "qf"), "left_id").join(lists, ["right_id", "term"])
+    rest = rest.groupBy("left_id", "right_id").agg(F.sum(F.col("qf") * F.col("w")).alias("e"))
+    scored = reached.join(rest, ["left_id", "right_id"], "left").select("left_id", "right_id", F.round(F.col("s") + F.coalesce("e", F.lit(0.0)), 6).alias("score"))
+    rank = F.row_number().over(own.orderBy(F.desc("score"), "right_id"))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def candidates(left: DataFrame, right: DataFrame, k: int = 10, held: int = 1_000_000, lk: str = "id", lt: str = "title", rk: str = "id", rt: str = "title") -> DataFrame:
     """``left_id``, ``right_id``, ``score`` (6 decimals), ``rank`` (1 to ``k``).
 
     A word counts as often as the left text repeats it. Ties go to the smaller
     right id. Records without words have no candidates; empty sides give none.
-    ``frequent``: words in more than this part of the right records (and in
-    more than ``least``) are looked at last. Up to ``broadcast`` postings of the
-    right side are sent to all executors: then the pairs of a left record are
-    made and summed in one place, and only its words are shuffled. Beyond, both
-    sides meet by word.
+    Up to ``held`` postings of the right side are sent to all workers.
     """
     postings = staged(index(right, rk, rt), "postings")
     size = postings.select("key", "dl").distinct().agg(F.count("*").alias("n"), F.avg("dl").alias("a")).first()
     n, average = F.lit(float(size["n"] or 0)), F.lit(float(size["a"] or 1.0))
     df = postings.groupBy("term").agg(F.count("*").alias("df"))
-    often = F.col("df") > max(least, frequent * (size["n"] or 0))
-    weighed = postings.join(df, "term").select("key", "term", _weight(n, average).alias("w"), often.alias("often"))
-    weighed = staged(weighed, "weighed")
-    near = weighed.count() <= broadcast
-    lists = F.broadcast if near else (lambda x: x)
-    tops = broadcast_if_small(weighed.where("often").groupBy("term").agg(F.max("w").alias("top")), 100_000)
+    weighed = staged(postings.join(df, "term").select("key", "term", _weight(n, average).alias("w")), "weighed")
     words = left.select(F.col(lk).alias("left_id"), F.explode(search_terms(F.col(lt))).alias("term")).groupBy("left_id", "term").agg(F.count("*").alias("qf"))
     words = staged(words, "words")
-    if near:  # a number of its own, else the few words would end up in one task
-        words = words.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "left_id")
-
-    rare = words.join(lists(weighed.where("not often")), "term").groupBy("left_id", F.col("key").alias("right_id")).agg(F.sum(F.col("qf") * F.col("w")).alias("s"))
-    rare = staged(rare, "rare")
-    reach = words.join(tops, "term").groupBy("left_id").agg(F.sum(F.col("qf") * F.col("top")).alias("reach"))
-    place = F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("s"), "right_id"))
-    kth = rare.withColumn("p", place).where(F.col("p") == k).select("left_id", F.col("s").alias("kth"))
-    bound = words.select("left_id").distinct().join(reach, "left_id", "left").join(kth, "left_id", "left").select("left_id", F.coalesce("reach", F.lit(0.0)).alias("reach"), F.col("kth"))
-    bound = staged(bound, "bounds")
-    few = F.broadcast if bound.count() <= broadcast else (lambda x: x)
-    settled = bound.where((F.col("kth") > F.col("reach") + 1e-5) | (F.col("reach") == 0))
-    # settled: a record that is no candidate by rare words cannot come in, and one
-    # that lacks more than the frequent words can add cannot either
-    kept = rare.join(few(settled), "left_id").where(F.col("kth").isNull() | (F.col("s") + F.col("reach") + 1e-5 >= F.col("kth"))).select("left_id", "right_id", "s")
-    extra = kept.select("left_id", "right_id").join(words, "left_id").join(tops.select("term"), "term").join(lists(weighed.where("often").withColumnRenamed("key", "right_id")), ["right_id", "term"]).groupBy("left_id", "right_id").agg(F.sum(F.col("qf") * F.col("w")).alias("e"))
-    first = kept.join(extra, ["left_id", "right_id"], "left").select("left_id", "right_id", (F.col("s") + F.coalesce("e", F.lit(0.0))).alias("score"))
-    open_ = words.join(few(settled.select("left_id")), "left_id", "left_anti")
-    second = open_.join(lists(weighed), "term").groupBy("left_id", F.col("key").alias("right_id")).agg(F.sum(F.col("qf") * F.col("w")).alias("score"))
-
-    def top(scored: DataFrame) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("score"), "right_id"))
-        return scored.withColumn("score", F.round("score", 6)).withColumn("rank", rank).where(F.col("rank") <= k)
-
-    # a score below the k-th by rare words alone is not in the top
-    reached = lambda scored: scored.join(few(bound.select("left_id", "kth")), "left_id").where(F.col("kth").isNull() | (F.col("score") + 1e-5 >= F.col("kth"))).drop("kth")
-    # every left record is in one of them
-    return top(reached(first)).unionByName(top(reached(second)))
+    few = stored_bytes(weighed) <= 16 << 20 and weighed.count() <= held
+    return (_in_arrays if few else _by_needed_words)(words, weighed, k)
