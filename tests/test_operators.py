@@ -3,6 +3,7 @@ import random
 import re
 import unicodedata
 
+import plain
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,8 +109,8 @@ def test_same_authors_by_name_similarity(frame):
     def same(p, q):
         if p is None or q is None:
             return False
-        x, y = sim.paired_tokens(plain_tokens(p), plain_tokens(q))
-        return p == q or bool(x and y) and sim.lcs_length(x, y) / max(len(x), len(y)) >= 0.6
+        x, y = plain.paired_tokens(plain_tokens(p), plain_tokens(q))
+        return p == q or bool(x and y) and plain.lcs_length(x, y) / max(len(x), len(y)) >= 0.6
 
     def one_by_one(a, b):
         left, met = list(b), 0
@@ -173,8 +174,8 @@ def test_journals_and_organisations_as_one_by_one(frame):
     def score(a, b):
         if a[1] and b[1] and a[1].upper() == b[1].upper():
             return 2.0
-        x, y = sim.paired_tokens(tokens(a[0]), tokens(b[0]))
-        s = 1.0 if tokens(a[0]) == tokens(b[0]) and x else sim.lcs_length(x, y) / max(len(x), len(y)) if x and y else 0
+        x, y = plain.paired_tokens(tokens(a[0]), tokens(b[0]))
+        s = 1.0 if tokens(a[0]) == tokens(b[0]) and x else plain.lcs_length(x, y) / max(len(x), len(y)) if x and y else 0
         return s if s > 0.9 else None
 
     assert got == greedy([(n, i) for _, n, i in rows[:-2]], score, False)
@@ -183,12 +184,29 @@ def test_journals_and_organisations_as_one_by_one(frame):
     got = {r["name"]: r["leader_name"] for r in canonical.organisations(frame(list(enumerate(orgs)), "position long, name string")).collect()}
 
     def org(a, b):
-        s = sim.org_similarity(a, b, tokens(a), tokens(b))
+        s = plain.organisation(a, b, tokens(a), tokens(b))
         return s if s >= 0.95 else None
 
     assert got == greedy(orgs, org, True)
 
 
+def test_very_long_names_meet(frame):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("bcdfghklmnprstvz", k=1) + rng.choices("aeiou", k=1) + rng.choices("bcdfghklmnprstvz", k=rng.randint(3, 6)))
+    for n, lost in ((17, 1), (19, 1), (25, 2), (31, 3), (45, 4), (60, 5)):
+        whole = [word() for _ in range(n)]
+        gone = set(rng.sample(range(n), lost))
+        fewer = [w for k, w in enumerate(whole) if k not in gone]
+        rows = [(0, " ".join(whole), None), (1, " ".join(fewer), None)]
+        made = canonical.journals(frame(rows, "position long, name string, issn string")).where("created").count()
+        assert made == 1, n
+        swapped = [word() if k in set(rng.sample(range(n - 1), n // 20)) else w for k, w in enumerate(whole)]
+        rows = [(0, " ".join([*whole[:4], "extra", "words", *whole[4:]])), (1, " ".join(swapped))]
+        score = plain.organisation(rows[1][1], rows[0][1], tokens(rows[1][1]), tokens(rows[0][1]))
+        made = canonical.organisations(frame(rows, "position long, name string")).where("created").count()
+        assert made == (1 if score >= 0.95 else 2), n
+
+
 def test_nested_set_and_issn(frame):
     df = frame([(1, "Uncategorized"), (2, "a"), (3, "b")], "id long, name string")
     assert sorted(tuple(r) for r in canonical.nested_set(df).select("id", "_lft", "_rgt").collect())[2] == (3, 5, 6)
@@ -203,7 +221,7 @@ def test_nearest_names_as_one_by_one(frame):
 
     def score(a, b):
         n = max(len(a), len(b))
-        return round(1 - sim.edit_distance(a, b) / n, 6) if n else 0.0
+        return round(1 - plain.edit_distance(a, b) / n, 6) if n else 0.0
 
     assert got == {t: max(((i, score(t, k)) for i, k in enumerate(known)), key=lambda x: (x[1], -x[0])) for t in typed}
     assert canonical.nearest_names(frame([("a",)], "a string"), frame([], "id long, b string")).count() == 0
