@@ -98,18 +98,24 @@ def _by_needed_words(words: DataFrame, weighed: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def candidates(left: DataFrame, right: DataFrame, k: int = 10, held: int = 1_000_000, lk: str = "id", lt: str = "title", rk: str = "id", rt: str = "title") -> DataFrame:
+def weighed_index(right: DataFrame, rk: str = "id", rt: str = "title") -> DataFrame:
+    """The postings of the right side with their BM25 weights (``key``, ``term``, ``w``), written once."""
+    postings = staged(index(right, rk, rt), "postings")
+    size = postings.select("key", "dl").distinct().agg(F.count("*").alias("n"), F.avg("dl").alias("a")).first()
+    n, average = F.lit(float(size["n"] or 0)), F.lit(float(size["a"] or 1.0))
+    df = postings.groupBy("term").agg(F.count("*").alias("df"))
+    return staged(postings.join(df, "term").select("key", "term", _weight(n, average).alias("w")), "weighed")
+
+
+def candidates(left: DataFrame, right: DataFrame, k: int = 10, held: int = 1_000_000, lk: str = "id", lt: str = "title", rk: str = "id", rt: str = "title", weighed: DataFrame | None = None) -> DataFrame:
     """``left_id``, ``right_id``, ``score`` (6 decimals), ``rank`` (1 to ``k``).
 
     A word counts as often as the left text repeats it. Ties go to the smaller
     right id. Records without words have no candidates; empty sides give none.
     Up to ``held`` postings of the right side are sent to all workers.
+    ``weighed``: the index of the right side, if there is one already.
     """
-    postings = staged(index(right, rk, rt), "postings")
-    size = postings.select("key", "dl").distinct().agg(F.count("*").alias("n"), F.avg("dl").alias("a")).first()
-    n, average = F.lit(float(size["n"] or 0)), F.lit(float(size["a"] or 1.0))
-    df = postings.groupBy("term").agg(F.count("*").alias("df"))
-    weighed = staged(postings.join(df, "term").select("key", "term", _weight(n, average).alias("w")), "weighed")
+    weighed = weighed_index(right, rk, rt) if weighed is None else weighed
     words = left.select(F.col(lk).alias("left_id"), F.explode(search_terms(F.col(lt))).alias("term")).groupBy("left_id", "term").agg(F.count("*").alias("qf"))
     words = staged(words, "words")
     few = stored_bytes(weighed) <= 16 << 20 and weighed.count() <= held

@@ -24,7 +24,7 @@ class Rules:
     exact_title_over: int = 20
     top: int = 10
     continuous: bool = False
-    use_doi: bool = False
+    use_identifiers: bool = False
 
 
 def year_compatible(a: Column, b: Column) -> Column:
@@ -45,33 +45,40 @@ def classify(title_score: Column, journal: Column, left_title: Column, rules: Ru
     return F.when(sure, "DUPLICATED").when(title_score >= rules.same, by_journal).when(title_score >= rules.possible, "POSSIBLY")
 
 
+def by_identifiers(doi_a: Column, doi_b: Column, issn_a: Column, issn_b: Column) -> Column:
+    """Equal DOIs accept a pair (true), different ones reject it (false), as do
+    different ISSNs; null where the identifiers do not decide."""
+    dois = is_doi(doi_a) & is_doi(doi_b)
+    return F.when(dois & (doi_a == doi_b), True).when(dois | (F.upper(issn_a) != F.upper(issn_b)), False)
+
+
 def _bound(a: Column, b: Column) -> Column:
     """The most that the title score can be, by the lengths."""
     x, y = F.length(ascii_fold(a)), F.length(ascii_fold(b))
     return F.when(a == b, 1.0).otherwise(F.least(x, y) / F.greatest(x, y, F.lit(1)))
 
 
-def matches(left: DataFrame, right: DataFrame, rules: Rules = Rules()) -> DataFrame:
+def matches(left: DataFrame, right: DataFrame, rules: Rules = Rules(), weighed: DataFrame | None = None) -> DataFrame:
     """All matches among the candidates: ``left_id``, ``right_id``, ``rank``,
     ``title_score``, ``journal_score``, ``match_type``.
 
     ``left`` and ``right`` are on the common schema. The journals are compared
     only where the titles make a match possible. Null titles match nothing.
+    ``weighed``: the index of the right titles, if there is one already.
     """
-    columns = ("original_id", "title", "year", "journal", "journal_iso", "doi")
+    columns = ("original_id", "title", "year", "journal", "journal_iso", *(("doi", "issn") if rules.use_identifiers else ()))
     a = left.select(*(F.col(c).alias(f"a_{c}") for c in columns))
     b = right.select(*(F.col(c).alias(f"b_{c}") for c in columns))
-    near = candidates(left, right, rules.top, lk="original_id", rk="original_id").select("left_id", "right_id", "rank")
+    near = candidates(left, right, rules.top, lk="original_id", rk="original_id", weighed=weighed).select("left_id", "right_id", "rank")
     pairs = near.join(a, F.col("left_id") == F.col("a_original_id")).join(b, F.col("right_id") == F.col("b_original_id"))
     pairs = pairs.where(year_compatible(parse_year(F.col("a_year")), parse_year(F.col("b_year"))))
-    if rules.use_doi:
-        both = is_doi(F.col("a_doi")) & is_doi(F.col("b_doi"))
-        pairs = pairs.where(F.coalesce(~both | (F.col("a_doi") == F.col("b_doi")), F.lit(True)))
-    pairs = pairs.where(_bound(F.col("a_title"), F.col("b_title")) >= rules.possible)
-    titled = pairs.withColumn("title_score", title_sim(F.col("a_title"), F.col("b_title"))).where(F.col("title_score") >= rules.possible)
+    pairs = pairs.withColumn("verdict", by_identifiers(F.col("a_doi"), F.col("b_doi"), F.col("a_issn"), F.col("b_issn")) if rules.use_identifiers else F.lit(None).cast("boolean"))
+    pairs = pairs.where("verdict is null or verdict")
+    pairs = pairs.where(F.col("verdict").isNotNull() | (_bound(F.col("a_title"), F.col("b_title")) >= rules.possible))
+    titled = pairs.withColumn("title_score", title_sim(F.col("a_title"), F.col("b_title"))).where(F.col("verdict").isNotNull() | (F.col("title_score") >= rules.possible))
     titled = staged(titled, "titled")
     scored = titled.withColumn("journal_score", journal_score(F.col("a_journal"), F.col("b_journal"), F.col("a_journal_iso"), F.col("b_journal_iso"), rules))
-    kind = classify(F.col("title_score"), F.col("journal_score"), F.col("a_title"), rules)
+    kind = F.when(F.col("verdict"), "DUPLICATED").otherwise(classify(F.col("title_score"), F.col("journal_score"), F.col("a_title"), rules))
     return scored.select("left_id", "right_id", "rank", F.round("title_score", 6).alias("title_score"), F.round("journal_score", 6).alias("journal_score"), kind.alias("match_type")).where("match_type is not null")
 
 
@@ -98,7 +105,8 @@ def same_authors(a: Column, b: Column, least: float = 0.8) -> Column:
 
 def link_comparison(given: DataFrame, found: DataFrame) -> DataFrame:
     """Two linkings (``left_id``, ``target``) compared: ``status`` only_given,
-    only_found or different for every left record on which they disagree."""
+    only_found or different for every left record on which they disagree; a
+    record of several targets has a row for each that differs."""
     a, b = given.withColumnRenamed("target", "given_target"), found.withColumnRenamed("target", "found_target")
     both = a.join(b, "left_id", "full_outer")
     status = F.when(F.col("found_target").isNull(), "only_given").when(F.col("given_target").isNull(), "only_found").when(F.col("given_target") != F.col("found_target"), "different")

@@ -73,6 +73,18 @@ def people_tables(documents: DataFrame) -> dict[str, DataFrame]:
     return {"authors": rows.select(F.col("author_id").alias("id"), "name"), "articles_authors": rows.select("author_id", F.col("id").alias("article_id")), "organizes": table_, "authors_organizes": links}
 
 
+def link_tables(documents: DataFrame) -> dict[str, DataFrame]:
+    """authors, articles_authors, organizes and authors_organizes, organisations by their plain names.
+
+    ``documents`` has ``id`` (of the article) and ``authors_json``.
+    """
+    rows = staged(numbered(people.authors(documents.withColumn("author", F.lit(None).cast("string")), True), ["id", "author_pos"], "author_id"), "authors")
+    held = staged(people.author_organisations(documents), "held")
+    names = staged(numbered(held.select("name").distinct(), ["name"]), "organizes")
+    links = held.join(rows.select("id", "author_pos", "author_id"), ["id", "author_pos"]).join(names.withColumnRenamed("id", "organize_id"), "name").select("author_id", "organize_id").distinct()
+    return {"authors": rows.select(F.col("author_id").alias("id"), "name"), "articles_authors": rows.select("author_id", F.col("id").alias("article_id")), "organizes": names, "authors_organizes": links}
+
+
 def merge_log(found: DataFrame, merged: DataFrame) -> DataFrame:
     """Log rows of matches (``left_id``, ``right_id``, ``match_type``, scores):
     the target is the merged id; unknown scores stay null, scores become floats."""

@@ -94,11 +94,13 @@ def stopword_tokens(spark: SparkSession, base: str) -> DataFrame:
 
 def name_variants(spark: SparkSession, base: str) -> DataFrame:
     names = table(spark, base, "scopus_documents", "authors").select(F.explode(people.author_names(F.col("authors"), False)).alias("name"))
-    return people.abbreviated(names, "name")
+    left = table(spark, base, "isi_documents", "author").select(F.explode(people.author_names(F.col("author"), True)).alias("name"))
+    return people.abbreviated(names.unionByName(left), "name")
 
 
 def org_suffixes(spark: SparkSession, base: str) -> DataFrame:
-    return people.suffixes(table(spark, base, "isi_documents", "affiliation"), "affiliation")
+    right = table(spark, base, "scopus_documents", "affiliations").select(F.explode(F.split("affiliations", "; ")).alias("affiliation"))
+    return people.suffixes(table(spark, base, "isi_documents", "affiliation").unionByName(right), "affiliation")
 
 
 def slug_bases(spark: SparkSession, base: str) -> DataFrame:
@@ -286,10 +288,15 @@ def merged_journals(spark: SparkSession, base: str) -> DataFrame:
     return merge.journal_table(_merged(spark, base)[0])[0]
 
 
+def _article_documents(spark: SparkSession, base: str) -> DataFrame:
+    """(``id`` of the article, ``authors_json``) of the record that each article stems from."""
+    a = table(spark, base, "articles", "id", "raw_scopus_id", "raw_isi_id")
+    sides = [a.join(f(spark, base, "authors_json").withColumnRenamed("id", k), k).select("id", "authors_json") for f, k in ((isi, "raw_isi_id"), (scopus, "raw_scopus_id"))]
+    return sides[0].unionByName(sides[1])
+
+
 def merged_people(spark: SparkSession, base: str) -> DataFrame:
-    made = table(spark, base, "articles", "id", "raw_scopus_id")
-    right = scopus(spark, base, "authors_json").withColumnRenamed("id", "raw_scopus_id")
-    tables = merge.people_tables(made.join(right, "raw_scopus_id").select("id", "authors_json"))
+    tables = merge.people_tables(_article_documents(spark, base))
     o = tables["organizes"].select(F.col("id").alias("organize_id"), F.col("name").alias("organisation"))
     return tables["articles_authors"].join(tables["authors"].withColumnRenamed("id", "author_id"), "author_id").join(tables["authors_organizes"], "author_id", "left").join(o, "organize_id", "left").select("article_id", "name", "organisation")
 
@@ -298,12 +305,11 @@ def merged_people(spark: SparkSession, base: str) -> DataFrame:
 
 
 def article_organisations(spark: SparkSession, base: str) -> DataFrame:
-    """(``article_id``, ``name``): organisations of the articles' own records."""
-    a = table(spark, base, "articles", "id", "raw_scopus_id", "raw_isi_id")
-    left = people.organisations(isi(spark, base, "authors_json")).withColumnRenamed("id", "raw_isi_id")
-    right = people.organisations(scopus(spark, base, "authors_json")).withColumnRenamed("id", "raw_scopus_id")
-    from_left = a.join(left, "raw_isi_id").select(F.col("id").alias("article_id"), "name")
-    return from_left.unionByName(a.join(right, "raw_scopus_id").select(F.col("id").alias("article_id"), "name"))
+    """(``article_id``, ``name``): the star of articles, authors and organisations, through the link tables."""
+    t = merge.link_tables(_article_documents(spark, base))
+    star = table(spark, base, "articles", "id").join(t["articles_authors"], F.col("id") == F.col("article_id")).select("article_id", "author_id")
+    named = t["organizes"].select(F.col("id").alias("organize_id"), "name")
+    return star.join(t["authors_organizes"], "author_id").join(named, "organize_id").select("article_id", "name").distinct()
 
 
 def rep_phrase_members(spark: SparkSession, base: str) -> DataFrame:
@@ -312,9 +318,10 @@ def rep_phrase_members(spark: SparkSession, base: str) -> DataFrame:
 
 
 def rep_not_in(spark: SparkSession, base: str) -> DataFrame:
-    table(spark, base, "merge_logs").createOrReplaceTempView("_merge_logs")
-    table(spark, base, "isi_documents", "raw_scopus_id").createOrReplaceTempView("_isi_links")
-    return spark.sql("select ml.id, ml.duplication_of from _merge_logs ml where cast(ml.duplication_of as string) not in (select raw_scopus_id from _isi_links where raw_scopus_id <> '')")
+    """Log entries whose target no left record links to; entries without a target are not listed."""
+    links = table(spark, base, "isi_documents", "raw_scopus_id").where("raw_scopus_id <> ''").select(F.col("raw_scopus_id").alias("target"))
+    logs = table(spark, base, "merge_logs", "id", "duplication_of").where("duplication_of is not null")
+    return logs.join(links, F.col("duplication_of").cast("string") == F.col("target"), "left_anti")
 
 
 def rep_counts(spark: SparkSession, base: str) -> DataFrame:
@@ -348,7 +355,7 @@ def rep_mismatch(spark: SparkSession, base: str) -> DataFrame:
 def link_compare(spark: SparkSession, base: str) -> DataFrame:
     given = given_links(spark, base).select("left_id", F.col("right_id").alias("target"))
     found = table(spark, base, "merge_logs", "isi_id", "duplication_of").join(table(spark, base, "articles", "id", "raw_scopus_id").where("raw_scopus_id is not null"), F.col("duplication_of") == F.col("id"))
-    found = found.groupBy(F.col("isi_id").alias("left_id")).agg(F.min("raw_scopus_id").alias("target"))
+    found = found.select(F.col("isi_id").alias("left_id"), F.col("raw_scopus_id").alias("target")).distinct()
     return linkage.link_comparison(given, found)
 
 

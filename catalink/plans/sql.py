@@ -137,7 +137,7 @@ def variants() -> str:
     front = "w[1:len(w)-1]"
     dots = f"array_to_string(list_transform({front}, lambda x: substr(x, 1, 1) || '.'), ' ')"
     forms = f"""[case when len(w) > 1 then w[len(w)] || ' ' || array_to_string({front}, ' ') else w[len(w)] || ' ' end, {dots} || ' ' || w[len(w)], w[len(w)] || ' ' || {dots}, w[len(w)] || ', ' || substr(w[1], 1, 1) || '.', substr(w[1], 1, 1) || '. ' || w[len(w)]]"""
-    return f"""with n as (select distinct unnest(string_split(authors, ', ')) as name from scopus_documents), x as (select name, {w} as w from n where trim(name) <> '')
+    return f"""with n as (select unnest(string_split(authors, ', ')) as name from scopus_documents union select unnest(string_split(author, ' and ')) from isi_documents), x as (select name, {w} as w from n where trim(name) <> '')
 select name, unnest(list_distinct([name] || case when length(name) - length(replace(name, '.', '')) >= len(w) - 1 then [] else {forms} end)) as variant from x"""
 
 
@@ -182,7 +182,7 @@ def reference() -> dict[str, str]:
         "type_class": one(kind("type"), "document_type"),
         "stopword_tokens": one(f"array_to_string({words('title', True)}, ' ')", "tokens"),
         "name_variants": variants(),
-        "org_suffixes": rf"with t as (select affiliation as x, replace({trim('lower(affiliation)')}, 'viet nam', 'vietnam') as t from isi_documents) select distinct {trim('''regexp_extract(t, '(?s)^.*[ ,.;]([^ ,.;]*.)$', 1)''')} as suffix from t where length(x) >= 2 and regexp_matches(t, '(?s)[ ,.;][^ ,.;]*.$')",
+        "org_suffixes": rf"with a as (select affiliation as x from isi_documents union all select unnest(string_split(affiliations, '; ')) from scopus_documents), t as (select x, replace({trim('lower(x)')}, 'viet nam', 'vietnam') as t from a) select distinct {trim('''regexp_extract(t, '(?s)^.*[ ,.;]([^ ,.;]*.)$', 1)''')} as suffix from t where length(x) >= 2 and regexp_matches(t, '(?s)[ ,.;][^ ,.;]*.$')",
         "slug_bases": f"select id, {slug('title')} as slug from articles",
         "id_gaps": "select 'isi' as catalogue, g as missing_id from (select unnest(generate_series(0, (select max(id) from isi_documents))) as g) where g not in (select id from isi_documents) union all select 'scopus', g from (select unnest(generate_series(0, (select max(id) from scopus_documents))) as g) where g not in (select id from scopus_documents)",
         "catalogue_union": f"with {ISI}, {SCOPUS} {common(True)} union all {common(False)}",
@@ -212,6 +212,6 @@ g as (select m.isi_id, m.duplication_of, i.affiliation as isi_organizes, s.affil
 select * from g where not ((isi_organizes ilike '{phrase}' and merged_organizes ilike '{phrase}' and scopus_organizes ilike '{phrase}') or (not isi_organizes ilike '{phrase}' and not merged_organizes ilike '{phrase}' and not scopus_organizes ilike '{phrase}'))""",
         "rep_mismatch": f"""with {organisations()}, g as (select a.id, a.title, i.affiliation, array_to_string(list_sort(list(distinct name)), chr(10)) as merged_organizes from articles a join isi i on i.id = a.raw_isi_id join orgs on article_id = a.id group by 1, 2, 3)
 select * from g where (merged_organizes ilike '{phrase}' and not affiliation ilike '{phrase}') or (not merged_organizes ilike '{phrase}' and affiliation ilike '{phrase}')""",
-        "link_compare": f"""with {PAIRS}, f as (select isi_id as left_id, min(raw_scopus_id) as t from merge_logs m join articles a on a.id = m.duplication_of where raw_scopus_id is not null group by 1)
+        "link_compare": f"""with {PAIRS}, f as (select distinct isi_id as left_id, raw_scopus_id as t from merge_logs m join articles a on a.id = m.duplication_of where raw_scopus_id is not null)
 select coalesce(p.left_id, f.left_id) as left_id, right_id as given_target, t as found_target, case when t is null then 'only_given' when right_id is null then 'only_found' else 'different' end as status from pairs p full join f on f.left_id = p.left_id where t is null or right_id is null or t <> right_id""",
     }

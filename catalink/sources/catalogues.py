@@ -81,16 +81,20 @@ def missing_ids(df: DataFrame, key: str, buckets: int = 1_000_000) -> DataFrame:
     """``missing_id``: whole numbers from 0 up to the largest id that are no id.
 
     Ids are compared with their predecessor inside ranges of ids, and ranges by
-    their ends, so no task orders all ids.
+    their ends, so no task orders all ids. A long gap is cut into pieces that
+    are spread before they are written out.
     """
+    piece = 100_000
     ids = df.select(F.col(key).cast("long").alias("k")).where("k >= 0").distinct()
     cut = F.floor(F.col("k") / buckets)
     before = F.lag("k").over(Window.partitionBy("bucket").orderBy("k"))
-    inside = ids.withColumn("bucket", cut).withColumn("low", before).where("low is not null and k > low + 1").select(F.explode(F.sequence(F.col("low") + 1, F.col("k") - 1)).alias("missing_id"))
+    inside = ids.withColumn("bucket", cut).withColumn("low", before).where("low is not null and k > low + 1").select((F.col("low") + 1).alias("a"), (F.col("k") - 1).alias("b"))
     ends = ids.groupBy(cut.alias("bucket")).agg(F.min("k").alias("first"), F.max("k").alias("last"))
     previous = F.coalesce(F.lag("last").over(Window.orderBy("bucket")), F.lit(-1))
-    between = ends.withColumn("low", previous).where("first > low + 1").select(F.explode(F.sequence(F.col("low") + 1, F.col("first") - 1)).alias("missing_id"))
-    return inside.unionByName(between)
+    between = ends.withColumn("low", previous).where("first > low + 1").select((F.col("low") + 1).alias("a"), (F.col("first") - 1).alias("b"))
+    gaps = inside.unionByName(between)
+    pieces = gaps.select("a", "b", F.explode(F.sequence(F.floor(F.col("a") / piece), F.floor(F.col("b") / piece))).alias("p")).repartition("p")
+    return pieces.select(F.explode(F.sequence(F.greatest("a", F.col("p") * piece), F.least("b", F.col("p") * piece + (piece - 1)))).alias("missing_id"))
 
 
 def jdbc(spark: SparkSession, query: str, partition_column: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 32) -> DataFrame:

@@ -6,6 +6,9 @@ import os
 import tempfile
 import uuid
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +41,8 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     This cuts the lineage, survives lost executors, keeps the columnar format
     and gives the optimizer true sizes for the joins that follow.
     """
-    path = f"{shared_dir(df.sparkSession)}/catalink/{label}-{uuid.uuid4().hex}"
+    scope = df.sparkSession.conf.get("catalink.staging.scope", "all")
+    path = f"{shared_dir(df.sparkSession)}/catalink/{scope}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -74,7 +78,20 @@ def one_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def clear_staged(spark: SparkSession) -> None:
-    """Deletes what ``staged`` wrote; results that still read it break."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/catalink")
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end: results must be written by then."""
+    before, scope = spark.conf.get("catalink.staging.scope", "all"), uuid.uuid4().hex
+    spark.conf.set("catalink.staging.scope", scope)
+    try:
+        yield
+    finally:
+        spark.conf.set("catalink.staging.scope", before)
+        clear_staged(spark, scope)
+
+
+def clear_staged(spark: SparkSession, scope: str = "") -> None:
+    """Deletes what ``staged`` wrote, or what it wrote in one scope; results that
+    still read it break."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/catalink/{scope}".rstrip("/"))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
