@@ -12,6 +12,7 @@ from catalink.operators import canonical, linkage, merge
 from catalink.operators.blocking import candidates
 from catalink.operators.slug import slugs
 from catalink.plans import sql as q
+from catalink.plans import sql_linkage
 from catalink.sources import catalogues as cat
 from catalink.sources.tables import one_per_key, staged, table
 
@@ -213,6 +214,13 @@ def link_matches(spark: SparkSession, base: str) -> DataFrame:
     return linkage.logged(linkage.matches(*_common(spark, base)))
 
 
+def link_matches_strict(spark: SparkSession, base: str) -> DataFrame:
+    """The same with the identifiers: equal DOIs accept, different DOIs or ISSNs reject."""
+    both = [staged(cat.common_schema(x, left), "side") for x, left in ((cat.left_catalogue(spark, base), True), (cat.right_catalogue(spark, base), False))]
+    rules = linkage.Rules(use_identifiers=True)
+    return linkage.logged(linkage.matches(*both, rules), rules)
+
+
 def link_outcome(spark: SparkSession, base: str) -> DataFrame:
     left, right = _common(spark, base)
     return linkage.outcome(left, linkage.logged(linkage.matches(left, right)))
@@ -363,7 +371,7 @@ QUERIES = (
     clean_text, alnum_key, char_count, ascii_fold, vietnamese, doi_flag, pages_range, issn_norm, country_corrected, json_escaped, number_flag, year_parse, type_class, stopword_tokens, name_variants, org_suffixes, slug_bases,
     id_gaps, catalogue_union, link_state, given_links, articles_journals, max_ids,
     lcs_pairs, lev_pairs, shingle_pairs, token_pairs, org_pairs, find_pairs, subsequence_pairs, author_pairs,
-    candidate_topk, link_matches, link_outcome, merge_log, best_journal, journal_by_issn, journal_entities, organisation_entities, nested_bounds, article_slugs, journal_slugs, organize_slugs,
+    candidate_topk, link_matches, link_matches_strict, link_outcome, merge_log, best_journal, journal_by_issn, journal_entities, organisation_entities, nested_bounds, article_slugs, journal_slugs, organize_slugs,
     merged_articles, import_log, merged_journals, merged_people, rep_phrase_members, rep_not_in, rep_counts, rep_disagree, rep_mismatch, link_compare,
 )
 
@@ -373,4 +381,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return q.reference()
+    return {**q.reference(), **sql_linkage.linkage()}

@@ -193,13 +193,7 @@ def reference() -> dict[str, str]:
         "lcs_pairs": f"{folded}, s as (select *, case when a is null or b is null then null when length(a) = 0 or length(b) = 0 then 0 else {LCS.format(a='a', b='b')} end as lcs from p) select left_id, right_id, lcs, round(case when title = r_title then 1 when a is null or b is null then 0 when a = b then 1 when greatest(length(a), length(b)) = 0 then 0 else lcs / greatest(length(a), length(b)) end, 6) as title_score from s",
         "lev_pairs": f"{plain}, c as (select *, {clean('a')} as ca, {clean('b')} as cb from p) select left_id, right_id, levenshtein(a, b)::bigint as lev, round({lev('a', 'b')}, 6) as lev_sim, round({lev('ca', 'cb')}, 6) as lev_sim_clean from c",
         "shingle_pairs": f"{plain}, s as (select *, {shingle('a')} as x, {shingle('b')} as y from p) select left_id, right_id, round(case when a is null or b is null then 0 when len(list_distinct(x || y)) > 0 then len(list_intersect(x, y)) / len(list_distinct(x || y)) else 0 end, 6) as jaccard from s",
-        "author_pairs": f"""with {PAIRS}, n as (select left_id, right_id, list_filter(string_split(author, ' and '), lambda x: x <> '') as a, list_filter(string_split(r_author, ', '), lambda x: x <> '') as b from pairs),
-f as (select *, list_transform(a, lambda x: lower({fold('x')})) as fa, list_transform(b, lambda x: lower({fold('x')})) as fb from n)
-select left_id, right_id, len(a)::bigint as n_left, len(b)::bigint as n_right, coalesce(least(len(a), len(b)) > 0 and len(list_filter(fa, lambda x: list_contains(fb, x))) / greatest(least(len(a), len(b)), 1) > 0.8, false) as same from f""",
         "candidate_topk": top_k(),
-        "best_journal": f"""with t as (select distinct journal, {fold('journal')} as a from isi_documents where trim(journal) <> ''), k as (select id, name, {fold('name')} as b from journals where trim(name) <> ''),
-p as (select journal, id, round({lev('a', 'b')}, 6) as score from t join k on substr(regexp_replace(lower({trim('a')}), '[^a-z0-9]', '', 'g'), 1, 8) = substr(regexp_replace(lower({trim('b')}), '[^a-z0-9]', '', 'g'), 1, 8))
-select journal, id as journal_id, score from p qualify row_number() over (partition by journal order by score desc, id) = 1""",
         "journal_by_issn": f"with {ISI}, k as (select min(id) as journal_id, upper({issn('issn')}) as issn from journals group by 2) select id as record, journal_id from isi join k on upper({issn('isi.issn')}) = k.issn",
         "nested_bounds": "select id, 2 * row_number() over (order by id) - 1 as _lft, 2 * row_number() over (order by id) as _rgt from organizes",
         "merged_articles": f"with {MERGED} select id, title, ({year('year')})::varchar as year, {kind('type')} as document_type, (src = 0)::int as is_scopus, (src = 1 or l is not null)::int as is_isi, case when src = 0 then oid end as raw_scopus_id, case when src = 1 then oid else l end as raw_isi_id from merged",
