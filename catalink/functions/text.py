@@ -172,3 +172,9 @@ def slug_base(x: Column) -> Column:
 def slug_needed(slug: Column) -> Column:
     """Whether a row still waits for its slug."""
     return F.coalesce((slug == "") | (slug == SLUG_MISSING), F.lit(True))
+
+
+def short_label(right: Column, left: Column, key: Column, title: Column) -> Column:
+    """Catalogue and id, filled to 18 characters, and 50 characters of the title; null without a title."""
+    name = F.concat(F.when(right & left, "Scopus&ISI").when(right, "Scopus").otherwise("ISI"), F.lit("-"), key.cast("string"))
+    return F.concat(F.rpad(name, F.greatest(F.length(name), F.lit(18)), F.lit(" ")), F.lit(":  "), F.substring(title, 1, 50))

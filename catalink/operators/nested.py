@@ -100,10 +100,15 @@ def flatten_authors(df: DataFrame, key: str, field: str) -> DataFrame:
     return flat.where(F.col("label").isNotNull())
 
 
-def split_levels(flat: DataFrame) -> dict[str, DataFrame]:
-    """The three related tables of ``flatten_authors``, each with its parents' keys."""
-    return {
-        "authors": flat.where("org_pos = 0").drop("org_pos", "unit_pos"),
-        "organisations": flat.where("org_pos > 0 and unit_pos = 0").drop("unit_pos"),
-        "units": flat.where("unit_pos > 0"),
-    }
+def related_tables(df: DataFrame, key: str, field: str) -> dict[str, DataFrame]:
+    """The three related tables, each with its parents' keys and by one ``inline``
+    of its own: authors, organisations, units."""
+    rows = df.select(F.col(key).alias("_key"), author_list(F.col(field)).alias("_authors")).where(F.size("_authors") > 0)
+    chosen = {"authors": lambda x: x["org_pos"] == 0, "organisations": lambda x: (x["org_pos"] > 0) & (x["unit_pos"] == 0), "units": lambda x: x["unit_pos"] > 0}
+    columns = {"authors": ["author_pos"], "organisations": ["author_pos", "org_pos"], "units": ["author_pos", "org_pos", "unit_pos"]}
+
+    def level(name: str) -> DataFrame:
+        kept = F.filter(levels(F.col("_authors")), lambda x: chosen[name](x) & x["label"].isNotNull())
+        return rows.select(F.col("_key").alias(key), F.inline(kept)).select(key, *columns[name], "label")
+
+    return {name: level(name) for name in chosen}

@@ -3,9 +3,11 @@
 Each text is reduced to a skeleton: quoted spans become ``q``, runs of
 ordinary characters ``w``, and only delimiters stay. The skeleton is cut at
 its delimiters and kept as the set of its distinct pieces, so long lists of the
-same layout share one. Splitting rules are resolved once per distinct
-skeleton, broadcast while few, and applied to the texts by position.
-Everything runs in the JVM.
+same layout share one. The skeleton decides what separates: in a
+numbered list the numbers and nothing else, so that its semicolons are content;
+else every delimiter that the skeleton holds, as one text may mix them. Rules
+are resolved once per distinct skeleton, broadcast while few, and applied to the
+texts by position. Everything runs in the JVM.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ class Layout:
     ``delimiters``: patterns (Java) that end a value outside quotes.
     ``commas``: "never", "always" (a comma and a blank end a value) or "names"
     (they do, unless the piece is one name written family-first).
-    ``numbered``: whether "[1] ..." starts a value.
+    ``numbered``: whether "[1] ..." starts a value, and where it does alone.
     """
 
     delimiters: tuple[str, ...]
@@ -76,18 +78,27 @@ def skeleton(text: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(pieces)), "~")
 
 
-def rules(skeletons: DataFrame, layout: Layout) -> DataFrame:
-    """One row per skeleton: ``pattern`` that ends values, ``commas``, ``quoted``.
+#: How each delimiter shows in a skeleton.
+SHOWN = {";": ";", "；": "；", "\\n": "\n", "\\|": "|", "\\s\\|\\s": " |", "·": "·", "\\s/\\s": " / ", "\\s&\\s": " & ", "\\s(?i:and)\\s": "\u0003"}
+#: A list number begins a value; a delimiter directly before it, or at the end, belongs to it.
+BY_NUMBER = "(?:\\s*[;|])?\\s*(?=\\[\\d{1,4}\\]\\s)|\\s*[;|]\\s*$"
 
-    Only delimiters that the skeleton holds enter the pattern; a skeleton that
-    holds none gets an empty one, and its texts stay whole.
-    """
-    holds = {";": ";", "；": "；", "\\n": "\n", "\\|": "|", "\\s\\|\\s": " |", "·": "·", "\\s/\\s": " / ", "\\s&\\s": " & ", "\\s(?i:and)\\s": "\u0003"}
-    present = [F.when(F.col("skeleton").contains(holds[d]), F.lit(d)) for d in layout.delimiters]
+
+def _rule(layout: Layout, holds) -> tuple[Column, Column]:
+    """The pattern that ends values and whether commas do, of a text that
+    ``holds`` the delimiters it is asked for. An empty pattern keeps it whole."""
+    pattern = F.concat_ws("|", *(F.when(holds(d), F.lit(d)) for d in layout.delimiters))
+    commas = holds(",") if layout.commas != "never" else F.lit(False)
     if layout.numbered:
-        present.append(F.when(F.col("skeleton").contains("\u0002"), F.lit("(?=\\[\\d{1,4}\\]\\s)")))
-    commas = F.col("skeleton").contains(",") if layout.commas != "never" else F.lit(False)
-    return skeletons.select("skeleton", F.concat_ws("|", *present).alias("pattern"), commas.alias("commas"))
+        pattern = F.when(holds("number"), F.lit(BY_NUMBER)).otherwise(pattern)
+    return pattern, commas
+
+
+def rules(skeletons: DataFrame, layout: Layout) -> DataFrame:
+    """One row per skeleton: ``pattern`` that ends values, ``commas``."""
+    shown = {**SHOWN, ",": ",", "number": "\u0002"}
+    pattern, commas = _rule(layout, lambda d: F.col("skeleton").contains(shown[d]))
+    return skeletons.select("skeleton", pattern.alias("pattern"), commas.alias("commas"))
 
 
 def _cut(text: Column, pattern: Column) -> Column:
@@ -117,8 +128,16 @@ def split_values(text: Column, layout: Layout) -> Column:
 
     For use inside other expressions; equal to ``unpack`` value for value.
     """
-    pattern = "|".join([*layout.delimiters, *(["(?=\\[\\d{1,4}\\]\\s)"] if layout.numbered else [])])
-    return _values(_cut(text, F.lit(pattern)), layout)
+    bare = F.array_join(F.transform(F.split(text, '"', -1), lambda s, i: F.when((F.size(F.split(text, '"', -1)) % 2 == 1) & (i % 2 == 1), F.lit("q")).otherwise(s)), "")
+    seen = {",": ",", "number": "\\[\\d{1,4}\\]"}
+    pattern, commas = _rule(layout, lambda d: bare.rlike(seen.get(d, d)))
+    return _split(text, pattern, commas, layout)
+
+
+def _split(text: Column, pattern: Column, commas: Column, layout: Layout) -> Column:
+    items = F.when(pattern == "", F.array(text)).otherwise(_cut(text, pattern))
+    whole = _values(items, Layout(layout.delimiters))
+    return whole if layout.commas == "never" else F.when(commas, _values(items, layout)).otherwise(whole)
 
 
 def _values(items: Column, layout: Layout) -> Column:
@@ -148,9 +167,7 @@ def unpack(df: DataFrame, key: str, field: str, layout: Layout, max_rules: int =
     texts = texts.withColumn("skeleton", skeleton(F.col("_text")))
     found = broadcast_if_small(rules(texts.select("skeleton").distinct(), layout), max_rules)
     ruled = texts.join(found, "skeleton")
-    items = F.when(F.col("pattern") == "", F.array("_text")).otherwise(_cut(F.col("_text"), F.col("pattern")))
-    whole = _values(items, Layout(layout.delimiters))
-    values = whole if layout.commas == "never" else F.when(F.col("commas"), _values(items, layout)).otherwise(whole)
+    values = _split(F.col("_text"), F.col("pattern"), F.col("commas"), layout)
     return ruled.select(F.col("_key").alias(key), F.posexplode(values).alias("pos", "item_value")).withColumn("pos", (F.col("pos") + 1).cast("int"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalink.operators.nested import flatten_authors
+from catalink.operators.nested import flatten_authors, related_tables
 from catalink.operators.packed import LAYOUTS, unpack_fields
 from catalink.plans import sql
 from catalink.sources.tables import one_per_key, staged, table
@@ -23,9 +23,23 @@ def p6_found(spark: SparkSession, base: str) -> DataFrame:
     return flatten_authors(rows, "id", "authors_json").withColumnRenamed("id", "isi_id")
 
 
+def _level(name: str):
+    def query(spark: SparkSession, base: str) -> DataFrame:
+        rows = one_per_key(table(spark, base, "isi_documents", "id", "crawled_at", "authors_json"), "id", "crawled_at")
+        return related_tables(rows, "id", "authors_json")[name].withColumnRenamed("id", "isi_id")
+
+    return query
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p6_found": p6_found}
+    return {"p1_found": p1_found, "p6_found": p6_found, **{f"p6_{name}": _level(name) for name in ("authors", "organisations", "units")}}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": sql.packed(), "p6_found": sql.nested()}
+    flat = f"({sql.nested()})"
+    return {
+        "p1_found": sql.packed(), "p6_found": sql.nested(),
+        "p6_authors": f"select isi_id, author_pos, label from {flat} where org_pos = 0",
+        "p6_organisations": f"select isi_id, author_pos, org_pos, label from {flat} where org_pos > 0 and unit_pos = 0",
+        "p6_units": f"select isi_id, author_pos, org_pos, unit_pos, label from {flat} where unit_pos > 0",
+    }

@@ -129,6 +129,36 @@ def given_links(spark: SparkSession, base: str) -> DataFrame:
     return merge.given_links(isi(spark, base, "raw_scopus_id"), scopus(spark, base))
 
 
+def catalogue_lookup(spark: SparkSession, base: str) -> DataFrame:
+    """Of each catalogue the record with its last id, looked up by id and catalogue."""
+    both = cat.unified(spark, base)
+    last = [table(spark, base, t, "id").agg(F.max("id")).first()[0] for t in ("isi_documents", "scopus_documents")]
+    found = [cat.by_key(both, -1 if key is None else key, left) for key, left in zip(last, (True, False))]
+    return found[0].unionByName(found[1]).select("original_id", "title", "journal", "is_isi", "is_scopus")
+
+
+def resumed_ids(spark: SparkSession, base: str) -> DataFrame:
+    """The left ids from the middle of their range on."""
+    ids = table(spark, base, "isi_documents", "id")
+    return cat.resume_from(ids, "id", (ids.agg(F.max("id")).first()[0] or 0) // 2).distinct()
+
+
+def journals_index(spark: SparkSession, base: str) -> DataFrame:
+    """Journals as they are looked up: ISSN in one notation, flags decoded."""
+    flags = ("is_isi", "is_scopus", "is_vci")
+    return table(spark, base, "journals", "id", "name", "issn", *flags).select(F.col("id").alias("original_id"), "name", tx.normalize_issn(F.col("issn")).alias("issn"), *(F.coalesce(F.col(c) == 1, F.lit(False)).alias(c) for c in flags))
+
+
+def organisations_index(spark: SparkSession, base: str) -> DataFrame:
+    """Organisations as they are looked up."""
+    return table(spark, base, "organizes", "id", "name").select(F.col("id").alias("original_id"), "name")
+
+
+def article_labels(spark: SparkSession, base: str) -> DataFrame:
+    """One short line per record: catalogue and id, then the beginning of the title."""
+    return cat.unified(spark, base).select("original_id", "is_isi", tx.short_label(F.col("is_scopus"), F.col("is_isi"), F.col("original_id"), F.col("title")).alias("label"))
+
+
 def articles_journals(spark: SparkSession, base: str) -> DataFrame:
     a = table(spark, base, "articles", "id", "title", "year", "doi", "is_isi", "is_scopus", "uri", "journal_id")
     j = table(spark, base, "journals", "id", "name").select(F.col("id").alias("journal_id"), F.col("name").alias("journal"))
@@ -193,6 +223,36 @@ def subsequence_pairs(spark: SparkSession, base: str) -> DataFrame:
     return _pairs(spark, base, common=sim.lcs_text(F.col("title"), F.col("r_title")))
 
 
+def year_pairs(spark: SparkSession, base: str) -> DataFrame:
+    """Whether the years of linked records allow them to be the same."""
+    years = [f(spark, base, "year").select(F.col("id").alias(k), tx.parse_year(F.col("year")).alias(f"{k}_year")) for f, k in ((isi, "left_id"), (scopus, "right_id"))]
+    rows = given_links(spark, base).join(years[0], "left_id").join(years[1], "right_id")
+    return rows.select("left_id", "right_id", linkage.year_compatible(F.col("left_id_year"), F.col("right_id_year")).alias("compatible"))
+
+
+def journal_pairs(spark: SparkSession, base: str) -> DataFrame:
+    """Journal scores of linked records, by name and abbreviation."""
+    left = isi(spark, base, "journal", "journal_iso").select(F.col("id").alias("left_id"), "journal", "journal_iso")
+    right = scopus(spark, base, "source_title", "abbreviated_source_title").withColumnRenamed("id", "right_id")
+    rows = given_links(spark, base).join(left, "left_id").join(right, "right_id")
+    return rows.select("left_id", "right_id", _score(linkage.journal_score(F.col("journal"), F.col("source_title"), F.col("journal_iso"), F.col("abbreviated_source_title"))).alias("journal_score"))
+
+
+def person_pairs(spark: SparkSession, base: str) -> DataFrame:
+    """Whether the first authors of linked records bear one person's name."""
+    first = lambda c, left: F.get(people.author_names(F.col(c), left), F.lit(0))
+    return _pairs(spark, base, same=F.coalesce(sim.same_person_name(first("author", True), first("r_author", False)), F.lit(False)))
+
+
+def linked_people(spark: SparkSession, base: str) -> DataFrame:
+    """Authors and organisations of the left records that were linked, which the merged tables leave out."""
+    links = given_links(spark, base).select(F.col("left_id").alias("id")).distinct()
+    t = merge.link_tables(isi(spark, base, "authors_json").join(links, "id", "left_semi"))
+    named = t["authors_organizes"].join(t["organizes"].select(F.col("id").alias("organize_id"), F.col("name").alias("organisation")), "organize_id")
+    of = t["articles_authors"].join(t["authors"].withColumnRenamed("id", "author_id"), "author_id").join(named, "author_id", "left")
+    return of.select(F.col("article_id").alias("isi_id"), "name", "organisation")
+
+
 def author_pairs(spark: SparkSession, base: str) -> DataFrame:
     a, b = people.author_names(F.col("author"), True), people.author_names(F.col("r_author"), False)
     return _pairs(spark, base, n_left=F.size(a).cast("long"), n_right=F.size(b).cast("long"), same=linkage.same_authors(a, b))
@@ -369,10 +429,10 @@ def link_compare(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES = (
     clean_text, alnum_key, char_count, ascii_fold, vietnamese, doi_flag, pages_range, issn_norm, country_corrected, json_escaped, number_flag, year_parse, type_class, stopword_tokens, name_variants, org_suffixes, slug_bases,
-    id_gaps, catalogue_union, link_state, given_links, articles_journals, max_ids,
-    lcs_pairs, lev_pairs, shingle_pairs, token_pairs, org_pairs, find_pairs, subsequence_pairs, author_pairs,
+    id_gaps, catalogue_union, link_state, given_links, catalogue_lookup, resumed_ids, journals_index, organisations_index, article_labels, articles_journals, max_ids,
+    lcs_pairs, lev_pairs, shingle_pairs, token_pairs, org_pairs, find_pairs, subsequence_pairs, year_pairs, journal_pairs, person_pairs, author_pairs,
     candidate_topk, link_matches, link_matches_strict, link_outcome, merge_log, best_journal, journal_by_issn, journal_entities, organisation_entities, nested_bounds, article_slugs, journal_slugs, organize_slugs,
-    merged_articles, import_log, merged_journals, merged_people, rep_phrase_members, rep_not_in, rep_counts, rep_disagree, rep_mismatch, link_compare,
+    merged_articles, import_log, merged_journals, merged_people, linked_people, rep_phrase_members, rep_not_in, rep_counts, rep_disagree, rep_mismatch, link_compare,
 )
 
 

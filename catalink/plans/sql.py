@@ -159,6 +159,9 @@ last as (select right_id, max(left_id) as l from links group by right_id),
 merged as (select row_number() over (order by src, oid) as id, src, oid, regexp_replace(title, '\\r\\n|\\n|\\r', ' ', 'g') as title, year, type, l from both_ left join last on src = 0 and right_id = oid)"""
 
 
+LABEL = "rpad(case when is_scopus then 'Scopus' else 'ISI' end || '-' || original_id, 18, ' ') || ':  ' || substr(title, 1, 50)"
+
+
 def reference() -> dict[str, str]:
     phrase = "%university of technology%"
     one = lambda x, column, source=ISI, t="isi": f"with {source} select id, {x} as {column} from {t}"
@@ -189,6 +192,12 @@ def reference() -> dict[str, str]:
         "link_state": f"with {ISI} select id, case when raw_scopus_id = '' then 'unlinked' else 'linked' end as state from isi where raw_scopus_id is not null",
         "given_links": f"with {PAIRS} select left_id, right_id from pairs",
         "articles_journals": "select a.id as original_id, title, year, name as journal, doi, a.is_isi = 1 as is_isi, a.is_scopus = 1 as is_scopus, uri, journal_id from articles a join journals j on j.id = a.journal_id",
+        "catalogue_lookup": f"with {ISI}, {SCOPUS}, u as ({common(True)} union all {common(False)}) select original_id, title, journal, is_isi, is_scopus from u where (is_isi and original_id = (select max(id) from isi)) or (is_scopus and original_id = (select max(id) from scopus))",
+        "resumed_ids": "select distinct id from isi_documents where id >= (select max(id) // 2 from isi_documents)",
+        "journals_index": f"select id as original_id, name, {issn('issn')} as issn, coalesce(is_isi = 1, false) as is_isi, coalesce(is_scopus = 1, false) as is_scopus, coalesce(is_vci = 1, false) as is_vci from journals",
+        "organisations_index": "select id as original_id, name from organizes",
+        "article_labels": f"with {ISI}, {SCOPUS}, u as ({common(True)} union all {common(False)}) select original_id, is_isi, {LABEL} as label from u",
+        "year_pairs": f"with {PAIRS}, y as (select left_id, right_id, {year('i.year')} as a, {year('s.year')} as b from pairs join isi i on i.id = left_id join scopus s on s.id = right_id) select left_id, right_id, a is null or b is null or a = b as compatible from y",
         "max_ids": " union all ".join(f"select '{t}' as table_name, max(id) as max_id from {t}" for t in ("isi_documents", "scopus_documents", "articles", "journals", "organizes")),
         "lcs_pairs": f"{folded}, s as (select *, case when a is null or b is null then null when length(a) = 0 or length(b) = 0 then 0 else {LCS.format(a='a', b='b')} end as lcs from p) select left_id, right_id, lcs, round(case when title = r_title then 1 when a is null or b is null then 0 when a = b then 1 when greatest(length(a), length(b)) = 0 then 0 else lcs / greatest(length(a), length(b)) end, 6) as title_score from s",
         "lev_pairs": f"{plain}, c as (select *, {clean('a')} as ca, {clean('b')} as cb from p) select left_id, right_id, levenshtein(a, b)::bigint as lev, round({lev('a', 'b')}, 6) as lev_sim, round({lev('ca', 'cb')}, 6) as lev_sim_clean from c",

@@ -197,11 +197,30 @@ def best_journal() -> str:
 p as (select journal, id, round({lev}, 6) as score from t, k) select journal, id as journal_id, score from p qualify row_number() over (partition by journal order by score desc, id) = 1"""
 
 
+def linked_people() -> str:
+    return f"""with {q.PAIRS}, docs as (select id, authors_json from isi where id in (select left_id from pairs)), {q.json_rows('docs')}, people as (select id, p, label as name from label_rows where q = 0 and label is not null),
+held as (select distinct id, p, label as organisation from label_rows where q > 0 and u = 0 and label is not null)
+select people.id as isi_id, people.name, organisation from people left join held on held.id = people.id and held.p = people.p"""
+
+
+def journal_pairs() -> str:
+    pairs = q.PAIRS.replace("i.author,", "i.author, i.journal_iso as iso, s.abbreviated_source_title as r_iso,")
+    return f"""with {pairs}, src as (select journal as a, r_journal as b from pairs union select iso, r_iso from pairs), {paired('p_', 'src')}, z as materialized (select a, b, {LONGER} as score from p_n),
+j as (select left_id, right_id, coalesce(f.score, 0) as full_, coalesce(s.score, 0) as short from pairs left join z f on f.a = journal and f.b = r_journal left join z s on s.a = iso and s.b = r_iso)
+select left_id, right_id, round(case when full_ >= 0.8 then full_ when short >= 0.8 then short else greatest(full_, short) end, 6) as journal_score from j"""
+
+
+def person_pairs() -> str:
+    return f"""with {q.PAIRS}, n as (select left_id, right_id, list_filter(string_split(author, ' and '), lambda x: x <> '')[1] as a, list_filter(string_split(r_author, ', '), lambda x: x <> '')[1] as b from pairs),
+{paired('p_', 'n')}, z as (select a, b, {LONGER} as score from p_n) select left_id, right_id, coalesce(score >= 1 - 0.4, false) as same from n left join z using (a, b)"""
+
+
 def linkage() -> dict[str, str]:
     log = "select left_id as isi_id, case when match_type = 'DUPLICATED' then m.id end as duplication_of, case when match_type <> 'DUPLICATED' then m.id end as possible_duplication_of, title_score::float as title_score, journal_score::float as journal_score, match_type = 'DUPLICATED' as is_merged from logged join (select row_number() over (order by id) as id, id as rid from scopus) m on m.rid = right_id"
     outcome = "select isi.id as left_id, linked_to, coalesce(n_logged, 0) as n_logged from isi left join (select left_id, arg_min(right_id, rank) filter (match_type = 'DUPLICATED') as linked_to, count(*) as n_logged from logged group by left_id) g on g.left_id = isi.id"
     rows = "select left_id, right_id, rank, title_score, journal_score, match_type from logged"
     return {
+        "journal_pairs": journal_pairs(), "person_pairs": person_pairs(), "linked_people": linked_people(),
         "token_pairs": token_pairs(), "org_pairs": org_pairs(), "subsequence_pairs": subsequence_pairs(), "find_pairs": find_pairs(), "author_pairs": author_pairs(), "best_journal": best_journal(),
         "link_matches": f"{matches()} {rows}", "link_outcome": f"{matches()} {outcome}", "merge_log": f"{matches()} {log}", "link_matches_strict": f"{matches(True)} {rows}",
         "journal_entities": journal_entities(), "organisation_entities": organisation_entities(), "merged_journals": merged_journals(), "merged_people": merged_people(),

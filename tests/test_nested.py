@@ -1,6 +1,6 @@
 import json
 
-from catalink.operators.nested import flatten_authors, split_levels
+from catalink.operators.nested import flatten_authors, related_tables
 
 AUTHORS = [
     {"first_name": " Ann ", "last_name": "Lee", "organizes": ["X", {"name": "Y", "units": [{"name": "u"}, "v"]}]},
@@ -30,6 +30,5 @@ def test_unreadable(frame):
 def test_empty_table_long_text_and_levels(frame):
     assert flatten_authors(frame([], "id long, j string"), "id", "j").count() == 0
     many = [{"fullName": f"n{i}", "organize": [{"name": "o", "units": ["u"]}]} for i in range(5000)]
-    df = flatten_authors(frame([(7, json.dumps(many)), (7, json.dumps(many[:1])), (None, json.dumps(many[:1]))], "id long, j string"), "id", "j")
-    parts = split_levels(df)
+    parts = related_tables(frame([(7, json.dumps(many)), (7, json.dumps(many[:1])), (None, json.dumps(many[:1]))], "id long, j string"), "id", "j")
     assert [parts[k].count() for k in ("authors", "organisations", "units")] == [5002] * 3

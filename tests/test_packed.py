@@ -89,3 +89,12 @@ def test_against_plain_python(frame, texts):
     for r in unpack(df, "id", "keyword", LAYOUTS["keyword"]).orderBy("id", "pos").collect():
         got.setdefault(r["id"], []).append(r["item_value"])
     assert got == {i: brute(t) for i, t in enumerate(texts) if brute(t)}
+
+
+def test_numbers_part_a_numbered_list_alone(frame):
+    texts = ["[1] Salt; water and ice, X, 2001; [2] Mud, Y, 2002;", "[1] One [2] Two; three\n[3] Four | [4] Five", "One; two\nthree | four"]
+    expected = [["Salt; water and ice, X, 2001", "Mud, Y, 2002"], ["One", "Two; three", "Four", "Five"], ["One", "two", "three", "four"]]
+    df = frame([(i, t) for i, t in enumerate(texts)], "id int, cited_references string")
+    rows = unpack(df, "id", "cited_references", LAYOUTS["cited_references"]).orderBy("id", "pos").collect()
+    assert [[r["item_value"] for r in rows if r["id"] == i] for i in range(3)] == expected
+    assert [r[0] for r in df.orderBy("id").select(split_values(F.col("cited_references"), LAYOUTS["cited_references"])).collect()] == expected
