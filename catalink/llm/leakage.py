@@ -239,11 +239,41 @@ def chains(items: list[np.ndarray], docs: list[np.ndarray], which: np.ndarray, o
     """Whether each document holds a leak of its item near the offset, and
     whether ``min_words`` of it stand there word for word.
 
-    ``which`` names the document of each item. For every pair of equal words
-    within the band of offsets, the fewest words skipped by a chain of k words
-    that ends there. A long chain that keeps to both limits contains one of less
-    than twice ``min_words`` that does, so k ends there.
+    ``which`` names the document of each item. Most candidates have too few
+    equal words around the offset; the others are worked through together.
     """
+    found, phrase = np.zeros(len(items), bool), np.zeros(len(items), bool)
+    size = np.array([len(x) for x in items])
+    order = np.argsort(size, kind="stable")
+    # items alike in length together, at most 20,000 words of them
+    total = np.cumsum(size[order])
+    cuts = [0, *(np.flatnonzero(np.diff(total // 20_000)) + 1), len(order)]
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
+
+    def settle() -> None:
+        longest = max(e.shape[1] for _, e in held)
+        rows = np.concatenate([r for r, _ in held])
+        sure, exact = _fewest_skipped(np.concatenate([np.pad(e, ((0, 0), (0, longest - e.shape[1]), (0, 0))) for _, e in held]), leak)
+        found[rows[sure]] = True
+        phrase[rows[exact]] = True
+
+    for part in (order[x:y] for x, y in zip(cuts[:-1], cuts[1:]) if x < y):
+        used, doc = np.unique(which[part], return_inverse=True)
+        for rows, equal in _likely([items[i] for i in part], [docs[d] for d in used], doc, offsets[part], leak):
+            held.append((part[rows], equal))
+            waiting += equal.shape[0] * equal.shape[1]
+        if waiting > 100_000:
+            settle()
+            held, waiting = [], 0
+    if held:
+        settle()
+    return found, phrase
+
+
+def _likely(items: list[np.ndarray], docs: list[np.ndarray], which: np.ndarray, offsets: np.ndarray, leak: Leak) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidates with enough equal words: which ones, and for words of the item
+    and offsets whether they are equal."""
     c, longest, most = len(items), max(map(len, items)), 2 * leak.min_words - 1
     # the words that agree lie in two cells, those of their chain a drift beyond
     lead, band = leak.drift, 4 * leak.drift
@@ -260,23 +290,24 @@ def chains(items: list[np.ndarray], docs: list[np.ndarray], which: np.ndarray, o
     np.clip(at, -1, size[which][:, None, None], out=at)
     at += begin[which][:, None, None]
     equal = flat[at] == words_[:, :, None]
-    found, phrase = np.zeros(c, bool), np.zeros(c, bool)
     # the offsets of a chain lie within one drift, so in one of three narrower bands
-    for begin in range(0, band - leak.drift, leak.drift):
-        part = equal[:, :, begin : begin + 2 * leak.drift]
+    for first in range(0, band - leak.drift, leak.drift):
+        part = equal[:, :, first : first + 2 * leak.drift]
         total = np.pad(np.cumsum(part.any(axis=2), axis=1), ((0, 0), (1, 0)))
         ahead = lambda n: (total[:, n:] - total[:, : longest + 1 - n]).max(axis=1, initial=0)  # noqa: E731, B023
         # too many other words in every stretch, or too few of the item's in any longer one
-        likely = np.flatnonzero((ahead(leak.min_words) >= leak.min_words - leak.rarest + leak.hits) & (ahead(min(longest, most + leak.drift - 1)) >= leak.min_words) & ~phrase)
-        if len(likely):
-            sure, exact = _fewest_skipped(part[likely], leak)
-            found[likely] |= sure
-            phrase[likely] |= exact
-    return found, phrase
+        rows = np.flatnonzero((ahead(leak.min_words) >= leak.min_words - leak.rarest + leak.hits) & (ahead(min(longest, most + leak.drift - 1)) >= leak.min_words))
+        if len(rows):
+            yield rows, part[rows]
 
 
 def _fewest_skipped(equal: np.ndarray, leak: Leak) -> tuple[np.ndarray, np.ndarray]:
-    """For candidates, words of the item and offsets: whether words are equal."""
+    """For candidates, words of the item and offsets: whether words are equal.
+
+    For every pair of equal words, the fewest words skipped by a chain of k words
+    that ends there. A long chain that keeps to both limits contains one of less
+    than twice ``min_words`` that does, so k ends there.
+    """
     none, most, band = np.int8(100), 2 * leak.min_words - 1, equal.shape[2]
     allowed = np.floor(leak.skipped * np.arange(1, most + 1)).astype(np.int8)
     allowed[: leak.min_words - 1] = -1
@@ -328,18 +359,15 @@ def matches(documents: DataFrame, items: DataFrame, leak: Leak = Leak(), index:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            docs = [_hashed(words(t)) for t in b["text"]]
+            found = [words(t) for t in b["text"]]
+            hashes, size = _hashed([w for x in found for w in x]), np.array([len(x) for x in found])
+            docs = np.split(hashes, np.cumsum(size)[:-1])
             row = np.repeat(np.arange(len(b)), b["items"].map(len))
             item, offset = (np.concatenate([*b[c], np.empty(0)]).astype(np.int64) for c in ("items", "offsets"))
-            terms = [known.value[i] for i in item] if known else [np.asarray(b["terms"].iloc[r]) for r in row]
-            order = np.argsort([len(t) for t in terms], kind="stable")
-            # pairs of items alike in length together, at most 20,000 words of them
-            size = np.cumsum([len(terms[i]) for i in order])
-            cuts = [0, *(np.flatnonzero(np.diff(size // 20_000)) + 1), len(order)]
-            for part in (order[x:y] for x, y in zip(cuts[:-1], cuts[1:]) if x < y):
-                used, which = np.unique(row[part], return_inverse=True)
-                found, phrase = chains([terms[i] for i in part], [docs[d] for d in used], which, offset[part], leak)
-                yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy()[row[part[found]]], "item_id": item[part[found]], "rank": (~phrase[found]).astype("int32")})
+            terms = [known.value[i] for i in item.tolist()] if known else [np.asarray(b["terms"].iloc[r]) for r in row]
+            if len(terms):
+                sure, phrase = chains(terms, docs, row, offset, leak)
+                yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy()[row[sure]], "item_id": item[sure], "rank": (~phrase[sure]).astype("int32")})
 
     sure = pairs.mapInPandas(run, "doc_id long, item_id long, rank int").groupBy("doc_id", "item_id").agg(F.min("rank").alias("rank"))
     return sure.select("doc_id", "item_id", F.when(F.col("rank") == 0, "phrase").otherwise("near").alias("kind"))
