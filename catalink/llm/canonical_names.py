@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalink.sources.tables import broadcast_if_small, staged
@@ -114,7 +114,9 @@ def match_names(typed: DataFrame, reference: DataFrame, rule: Match = Match()) -
     # substrings of the typed names where an unchanged piece may stand: with i
     # pieces before it, either at most i edits came before or at most k - i after
     m = F.length("plain")
-    sized = open_.withColumn("m", m).join(shapes, F.col("rn").between(F.col("m") - k, F.col("m") + k))
+    tasks = int(typed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lengths = open_.repartition(tasks, "name").withColumn("m", m).withColumn("rn", F.explode(F.sequence(m - k, m + k)))
+    sized = lengths.join(shapes, "rn")
     d = F.col("m") - F.col("rn")
     low = F.greatest(F.lit(0), F.col("b") - F.col("i"), F.col("b") + d - (k - F.col("i")))
     high = F.least(F.col("m") - F.col("len"), F.col("b") + F.col("i"), F.col("b") + d + (k - F.col("i")))

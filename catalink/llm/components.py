@@ -10,6 +10,7 @@ keeps one edge for each edge partition, since stars are keyed by their leaves.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,10 +50,21 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     ``moved`` marks nodes that came in as roots and got a smaller one.
     """
     u, v, roots = (np.empty(0, np.int64) for _ in range(3))
-    for batch in batches:
-        roots = np.union1d(roots, batch["root"].to_numpy(np.int64))
-        u, v = np.concatenate([u, batch["node"].to_numpy(np.int64)]), np.concatenate([v, batch["root"].to_numpy(np.int64)])
-        nodes, found = union_find(u, v)
+    more: list[pd.DataFrame] = []
+    waiting = 0
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            more.append(batch)
+            waiting += len(batch)
+            # as many new edges as the forest has, so all uniting together is n log n
+            if waiting < max(100_000, len(u)):
+                continue
+        if not waiting:
+            continue
+        new = pd.concat(more)
+        more, waiting = [], 0
+        roots = np.union1d(roots, new["root"].to_numpy(np.int64))
+        nodes, found = union_find(np.concatenate([u, new["node"].to_numpy(np.int64)]), np.concatenate([v, new["root"].to_numpy(np.int64)]))
         keep = nodes != found
         u, v = nodes[keep], found[keep]
     for k in range(0, len(u), 100_000):
