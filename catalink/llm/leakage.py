@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalink.functions.kernels import Ragged
 from catalink.sources.tables import broadcast_if_small, staged, stored_bytes
 
 WORD = re.compile(r"[^\W_]+")
@@ -235,18 +236,22 @@ def intersected(rows: pd.DataFrame, leak: Leak, at_once: int = 1_000_000) -> pd.
     return pd.DataFrame({"doc_id": doc[first], "items": cut(item), "offsets": cut(offset)})
 
 
-def chains(items: list[np.ndarray], docs: list[np.ndarray], which: np.ndarray, offsets: np.ndarray, leak: Leak) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each document holds a leak of its item near the offset, and
-    whether ``min_words`` of it stand there word for word.
+def chains(items: Ragged, item: np.ndarray, docs: Ragged, doc: np.ndarray, offsets: np.ndarray, leak: Leak) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each candidate's document holds a leak of its item near the
+    offset, and whether ``min_words`` of it stand there word for word.
 
-    ``which`` names the document of each item. Most candidates have too few
-    equal words around the offset; the others are worked through together.
+    A candidate is one of ``items``, one of ``docs`` and an offset. Most have
+    too few equal words there; the others are worked through together.
     """
-    found, phrase = np.zeros(len(items), bool), np.zeros(len(items), bool)
-    size = np.array([len(x) for x in items])
-    order = np.argsort(size, kind="stable")
+    found, phrase = np.zeros(len(item), bool), np.zeros(len(item), bool)
+    order = np.argsort(items.size[item], kind="stable")
+    # all documents in a row, a zero behind each
+    nth = np.repeat(np.arange(len(docs.size)), docs.size)
+    flat = np.zeros(len(docs.flat) + len(docs.size) + 1, np.int64)
+    flat[np.arange(len(docs.flat)) + nth + 1] = docs.flat
+    begin = docs.begin + np.arange(len(docs.size)) + 1
     # items alike in length together, at most 20,000 words of them
-    total = np.cumsum(size[order])
+    total = np.cumsum(items.size[item[order]])
     cuts = [0, *(np.flatnonzero(np.diff(total // 20_000)) + 1), len(order)]
     held: list[tuple[np.ndarray, np.ndarray]] = []
     waiting = 0
@@ -259,8 +264,8 @@ def chains(items: list[np.ndarray], docs: list[np.ndarray], which: np.ndarray, o
         phrase[rows[exact]] = True
 
     for part in (order[x:y] for x, y in zip(cuts[:-1], cuts[1:]) if x < y):
-        used, doc = np.unique(which[part], return_inverse=True)
-        for rows, equal in _likely([items[i] for i in part], [docs[d] for d in used], doc, offsets[part], leak):
+        sought = items.padded(item[part], int(items.size[item[part]].max()), 1)
+        for rows, equal in _likely(sought, flat, begin[doc[part]], docs.size[doc[part]], offsets[part], leak):
             held.append((part[rows], equal))
             waiting += equal.shape[0] * equal.shape[1]
         if waiting > 100_000:
@@ -271,25 +276,15 @@ def chains(items: list[np.ndarray], docs: list[np.ndarray], which: np.ndarray, o
     return found, phrase
 
 
-def _likely(items: list[np.ndarray], docs: list[np.ndarray], which: np.ndarray, offsets: np.ndarray, leak: Leak) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _likely(sought: np.ndarray, flat: np.ndarray, begin: np.ndarray, size: np.ndarray, offsets: np.ndarray, leak: Leak) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Candidates with enough equal words: which ones, and for words of the item
-    and offsets whether they are equal."""
-    c, longest, most = len(items), max(map(len, items)), 2 * leak.min_words - 1
+    and offsets whether they are equal. A document lies at ``begin`` in ``flat``."""
+    longest, most = sought.shape[1], 2 * leak.min_words - 1
     # the words that agree lie in two cells, those of their chain a drift beyond
     lead, band = leak.drift, 4 * leak.drift
-    # all documents in a row, a zero before and after each
-    size = np.array([len(d) for d in docs])
-    flat = np.zeros(size.sum() + len(docs) + 1, np.int64)
-    begin = np.cumsum(size + 1) - size
-    for d, x in zip(begin, docs):
-        flat[d : d + len(x)] = x
-    words_ = np.ones((c, longest), np.int64)
-    for k, x in enumerate(items):
-        words_[k, : len(x)] = x
-    at = (np.arange(longest)[:, None] + np.arange(band)[None, :])[None] + (offsets - lead)[:, None, None]
-    np.clip(at, -1, size[which][:, None, None], out=at)
-    at += begin[which][:, None, None]
-    equal = flat[at] == words_[:, :, None]
+    at = (np.arange(longest)[:, None] + np.arange(band)[None, :]).astype(np.int32)[None] + (offsets - lead).astype(np.int32)[:, None, None]
+    np.clip(at, -1, size.astype(np.int32)[:, None, None], out=at)
+    equal = flat[at + begin[:, None, None]] == sought[:, :, None]
     # the offsets of a chain lie within one drift, so in one of three narrower bands
     for first in range(0, band - leak.drift, leak.drift):
         part = equal[:, :, first : first + 2 * leak.drift]
@@ -350,7 +345,8 @@ def matches(documents: DataFrame, items: DataFrame, leak: Leak = Leak(), index:
     pairs = held.join(broadcast_if_small(near), "doc_id")
     if stored_bytes(sought) <= 8 << 20 and sought.count() <= 50_000:
         # so few items that every worker can hold them: a text is sent once for all its candidates
-        known = documents.sparkSession.sparkContext.broadcast({r["item_id"]: np.array(r["terms"]) for r in sought.toLocalIterator()})
+        few = sorted((r["item_id"], r["terms"]) for r in sought.toLocalIterator())
+        known = documents.sparkSession.sparkContext.broadcast((np.array([i for i, _ in few], np.int64), Ragged.of_lists([t for _, t in few])))
         pairs = pairs.select("doc_id", "text", "items", "offsets", F.lit(None).cast("array<long>").alias("terms"))
     else:
         known = None
@@ -360,13 +356,16 @@ def matches(documents: DataFrame, items: DataFrame, leak: Leak = Leak(), index:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [words(t) for t in b["text"]]
-            hashes, size = _hashed([w for x in found for w in x]), np.array([len(x) for x in found])
-            docs = np.split(hashes, np.cumsum(size)[:-1])
+            docs = Ragged(_hashed([w for x in found for w in x]), np.array([len(x) for x in found]))
             row = np.repeat(np.arange(len(b)), b["items"].map(len))
             item, offset = (np.concatenate([*b[c], np.empty(0)]).astype(np.int64) for c in ("items", "offsets"))
-            terms = [known.value[i] for i in item.tolist()] if known else [np.asarray(b["terms"].iloc[r]) for r in row]
-            if len(terms):
-                sure, phrase = chains(terms, docs, row, offset, leak)
+            if known:
+                ids, terms = known.value
+                nth = np.searchsorted(ids, item)
+            else:
+                terms, nth = Ragged.of_lists(list(b["terms"])), row
+            if len(item):
+                sure, phrase = chains(terms, nth, docs, row, offset, leak)
                 yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy()[row[sure]], "item_id": item[sure], "rank": (~phrase[sure]).astype("int32")})
 
     sure = pairs.mapInPandas(run, "doc_id long, item_id long, rank int").groupBy("doc_id", "item_id").agg(F.min("rank").alias("rank"))
