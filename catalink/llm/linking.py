@@ -221,42 +221,47 @@ def compared(edges: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def propagated(edges: DataFrame, left: DataFrame, right: DataFrame, rule: Linkage) -> DataFrame:
-    """Scores after similarity has flowed along the graph until it is stable.
+    """``l``, ``r``, ``score`` of the links after similarity has flowed along the
+    graph until it is stable.
 
     A pair (l, r) draws on r', the record that l is best linked to, and l', the
     one of r: the weakest of l - r', r' - l' and l' - r moves the pair's score by
-    its share of what it has above ``accept``, or lacks. Pairs that such a path
+    its share of what it has above ``accept``, or lacks, and by ``most`` at most;
+    pairs that lie farther from ``accept`` are decided. Pairs that such a path
     joins are compared if they were not yet. A pair that would change sides for
     the third time stays out, so the end is reached; if it is not within
     ``rounds``, that is an error.
     """
-    own = staged(compared(edges, left, right), "scored")
-    now = own.select("l", "r", F.col("score").alias("own"), "score", (F.col("score") >= rule.accept).alias("linked"), F.lit(0).alias("turns"))
+    score = F.col("score")
+    known = staged(compared(edges, left, right), "scored")
+    fresh_state = lambda df: df.where(F.abs(score - rule.accept) <= rule.most).select("l", "r", score.alias("own"), "score", (score >= rule.accept).alias("linked"), F.lit(0).alias("turns"))
+    open_ = fresh_state(known)
     for _ in range(rule.rounds):
-        strong = staged(now.where("linked").select("l", "r", "score"), "strong")
-        best_l = staged(strong.groupBy("l").agg(F.max_by(F.struct(F.col("r").alias("r2"), F.col("score").alias("s1")), F.struct("score", -F.col("r"))).alias("x")).select("l", "x.*"), "best")
-        best_r = staged(strong.groupBy("r").agg(F.max_by(F.struct(F.col("l").alias("l2"), F.col("score").alias("s3")), F.struct("score", -F.col("l"))).alias("x")).select("r", "x.*"), "best")
-        # pairs whose best records are linked to each other come into reach
-        paths = strong.select(F.col("l").alias("l2"), F.col("r").alias("r2")).join(best_l, "r2").join(best_r, "l2").select("l", "r")
-        fresh = staged(paths.distinct().join(now.select("l", "r"), ["l", "r"], "left_anti"), "reach")
+        sure = known.where(score > rule.accept + rule.most).select("l", "r", "score")
+        strong = staged(sure.unionByName(open_.where("linked").select("l", "r", "score")), "strong")
+        best_l = staged(strong.groupBy("l").agg(F.max_by(F.struct(F.col("r").alias("r2"), score.alias("s1")), F.struct("score", -F.col("r"))).alias("x")).select("l", "x.*"), "best")
+        best_r = staged(strong.groupBy("r").agg(F.max_by(F.struct(F.col("l").alias("l2"), score.alias("s3")), F.struct("score", -F.col("l"))).alias("x")).select("r", "x.*"), "best")
+        # pairs whose best records are linked to each other come into reach; most links are each other's best
+        paths = strong.select(F.col("l").alias("l2"), F.col("r").alias("r2")).join(best_l.select("l", "r2"), "r2").join(best_r.select("r", "l2"), "l2").where("l <> l2 or r <> r2").select("l", "r")
+        fresh = broadcast_if_small(paths.distinct().join(known.select("l", "r"), ["l", "r"], "left_anti"))
         more = not fresh.isEmpty()
         if more:
-            scored = compared(fresh, left, right)
+            some = [side.join(broadcast_if_small(fresh.select(F.col(k).alias("id")).distinct()), "id", "left_semi") for side, k in ((left, "l"), (right, "r"))]
             # those that compare as different publications are kept, so as not to be compared again
-            scored = fresh.join(scored, ["l", "r"], "left").select("l", "r", F.coalesce("score", F.lit(-99.0)).alias("own"))
-            now = now.unionByName(scored.select("l", "r", "own", F.col("own").alias("score"), F.lit(False).alias("linked"), F.lit(0).alias("turns")))
-            now = staged(now, "reached")
-        middle = now.select(F.col("l").alias("l2"), F.col("r").alias("r2"), F.col("own").alias("s2"))
-        near = now.select("l", "r").join(best_l, "l").join(best_r, "r").where("l <> l2 and r <> r2").join(middle, ["l2", "r2"])
+            scored = staged(fresh.join(compared(fresh, *some), ["l", "r"], "left").select("l", "r", F.coalesce("score", F.lit(-99.0)).alias("score")), "reached")
+            known = known.unionByName(scored)
+            open_ = open_.unionByName(fresh_state(scored))
+        middle = known.select(F.col("l").alias("l2"), F.col("r").alias("r2"), score.alias("s2"))
+        near = open_.select("l", "r").join(best_l, "l").join(best_r, "r").where("l <> l2 and r <> r2").join(middle, ["l2", "r2"])
         near = near.select("l", "r", F.least("s1", "s2", "s3").alias("through"))
         share = F.coalesce(F.greatest(F.lit(-rule.most), F.least(F.lit(rule.most), (F.col("through") - rule.accept) * rule.support)), F.lit(0.0))
-        moved = now.join(near, ["l", "r"], "left").withColumn("score", F.round(F.col("own") + share, 6))
-        turned = F.col("linked") != (F.col("score") >= rule.accept)
-        moved = moved.select("l", "r", "own", "score", ((F.col("score") >= rule.accept) & (F.col("turns") + turned.cast("int") < 3)).alias("linked"), F.col("linked").alias("was"), (F.col("turns") + turned.cast("int")).alias("turns"))
+        moved = open_.join(near, ["l", "r"], "left").withColumn("score", F.round(F.col("own") + share, 6))
+        turned = F.col("linked") != (score >= rule.accept)
+        moved = moved.select("l", "r", "own", "score", ((score >= rule.accept) & (F.col("turns") + turned.cast("int") < 3)).alias("linked"), F.col("linked").alias("was"), (F.col("turns") + turned.cast("int")).alias("turns"))
         moved = staged(moved, "moved")
-        now = moved.drop("was")
+        open_ = moved.drop("was")
         if not more and moved.where("linked <> was").isEmpty():
-            return now
+            return known.where(score > rule.accept + rule.most).unionByName(open_.where("linked").select("l", "r", "score"))
     raise RuntimeError("the matches did not settle")
 
 
@@ -270,7 +275,7 @@ def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     several = rows.join(broadcast_if_small(first.select("_h")), "_h", "left_semi")
     node = F.min("id").over(Window.partitionBy("_h", *attributes))
     copies = staged(several.withColumn("node", node).where("id <> node").select("id", "node"), "copies")
-    return staged(rows.drop("_h").join(broadcast_if_small(copies.select("id")), "id", "left_anti"), "nodes"), copies
+    return rows.drop("_h").join(broadcast_if_small(copies.select("id")), "id", "left_anti"), copies
 
 
 def links(left: DataFrame, right: DataFrame, rule: Linkage = Linkage()) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -280,8 +285,7 @@ def links(left: DataFrame, right: DataFrame, rule: Linkage = Linkage()) -> tuple
     """
     (a, copies_a), (b, copies_b) = _nodes(left), _nodes(right)
     general = broadcast_if_small(telling(a, b))
-    rated = staged(a.join(general, "title", "left"), "rated")
-    found = propagated(candidates(a, b, rule), rated, b, rule).where("linked")
+    found = propagated(candidates(a, b, rule), a.join(general, "title", "left"), b, rule)
     sure = F.round(1.0 / (1.0 + F.exp(-(F.col("score") - rule.accept / 2))), 6)
     return staged(found.select("l", "r", sure.alias("confidence")), "links"), copies_a, copies_b
 
