@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalink.functions.text import article_type, parse_year
 from catalink.operators import authors as people
 from catalink.operators.canonical import SENTINEL, journals, nested_set, organisations
+from catalink.operators.nested import flatten_authors
 from catalink.operators.numbering import numbered
 from catalink.sources.tables import staged
 
@@ -78,8 +79,9 @@ def link_tables(documents: DataFrame) -> dict[str, DataFrame]:
 
     ``documents`` has ``id`` (of the article) and ``authors_json``.
     """
-    rows = staged(numbered(people.authors(documents.withColumn("author", F.lit(None).cast("string")), True), ["id", "author_pos"], "author_id"), "authors")
-    held = staged(people.author_organisations(documents), "held")
+    flat = staged(flatten_authors(documents, "id", "authors_json").where("unit_pos = 0"), "flat")
+    rows = staged(numbered(flat.where("org_pos = 0").select("id", "author_pos", F.col("label").alias("name")), ["id", "author_pos"], "author_id"), "authors")
+    held = flat.where("org_pos > 0").select("id", "author_pos", F.col("label").alias("name")).distinct()
     names = staged(numbered(held.select("name").distinct(), ["name"]), "organizes")
     links = held.join(rows.select("id", "author_pos", "author_id"), ["id", "author_pos"]).join(names.withColumnRenamed("id", "organize_id"), "name").select("author_id", "organize_id").distinct()
     return {"authors": rows.select(F.col("author_id").alias("id"), "name"), "articles_authors": rows.select("author_id", F.col("id").alias("article_id")), "organizes": names, "authors_organizes": links}

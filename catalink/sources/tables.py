@@ -61,10 +61,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 500_000, max_bytes: int =
     and its compressed files at most ``max_bytes``.
 
     Beyond that the join is left to the planner, which then shuffles; the
-    result is the same.
+    result is the same. A lookup has different keys, which take two bytes a row or
+    more, so the rows of a small file need not be counted.
     """
     kept = staged(df, "lookup")
-    return F.broadcast(kept) if stored_bytes(kept) <= max_bytes and kept.count() <= max_rows else kept
+    size = stored_bytes(kept)
+    return F.broadcast(kept) if size <= max_bytes and (size <= 2 * max_rows or kept.count() <= max_rows) else kept
 
 
 def one_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
