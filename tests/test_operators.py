@@ -7,7 +7,6 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from catalink.functions import similarity as sim
 from catalink.functions.text import STOP_WORDS
 from catalink.operators import authors, blocking, canonical, linkage, merge
 from catalink.operators.numbering import numbered, ranked
