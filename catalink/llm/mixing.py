@@ -11,6 +11,7 @@ seeded order. Only one total per source reaches the driver.
 from __future__ import annotations
 
 import base64
+import math
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -160,6 +161,9 @@ def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
         return list(counts)
     if budget <= 0:
         return [0] * len(lengths)
+    # all sums are multiples of the lengths' common divisor
+    step = math.gcd(*(n for n, c in zip(lengths, counts) if c))
+    least = min(budget % step, -budget % step)
     best, window = None, WINDOW
     while True:
         base = _in_proportion(lengths, counts, budget - window // 2) if budget > window else [0] * len(lengths)
@@ -168,7 +172,7 @@ def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
         miss = abs(done + got - budget)
         if best is None or miss < best[0]:
             best = (miss, [t + m for t, m in zip(base, more)])
-        if not best[0] or budget <= window or window >= MOST:
+        if best[0] == least or budget <= window or window >= MOST:
             return best[1]
         window *= 16
 

@@ -168,6 +168,12 @@ def test_fit_of_few_lengths():
         assert abs(total - budget) == min(abs(s - budget) for s in sums)
 
 
+def test_fit_of_lengths_with_a_common_divisor():
+    lengths, counts = list(range(1800, 100, -2)), [500] * 850
+    taken = mixing.fit(lengths, counts, 90_000_001)
+    assert sum(n * t for n, t in zip(lengths, taken)) in (90_000_000, 90_000_002)
+
+
 def test_fit_in_little_memory(monkeypatch):
     monkeypatch.setattr(mixing, "HELD", 0)
     rng = random.Random(8)
