@@ -346,7 +346,9 @@ def matches(documents: DataFrame, items: DataFrame, leak: Leak = Leak(), index:
     if stored_bytes(sought) <= 8 << 20 and sought.count() <= 50_000:
         # so few items that every worker can hold them: a text is sent once for all its candidates
         few = sorted((r["item_id"], r["terms"]) for r in sought.toLocalIterator())
-        known = documents.sparkSession.sparkContext.broadcast((np.array([i for i, _ in few], np.int64), Ragged.of_lists([t for _, t in few])))
+        listed = Ragged.of_lists([t for _, t in few])
+        # plain arrays, since workers have no copy of the package
+        known = documents.sparkSession.sparkContext.broadcast((np.array([i for i, _ in few], np.int64), listed.flat, listed.size))
         pairs = pairs.select("doc_id", "text", "items", "offsets", F.lit(None).cast("array<long>").alias("terms"))
     else:
         known = None
@@ -360,8 +362,8 @@ def matches(documents: DataFrame, items: DataFrame, leak: Leak = Leak(), index:
             row = np.repeat(np.arange(len(b)), b["items"].map(len))
             item, offset = (np.concatenate([*b[c], np.empty(0)]).astype(np.int64) for c in ("items", "offsets"))
             if known:
-                ids, terms = known.value
-                nth = np.searchsorted(ids, item)
+                ids, flat, size = known.value
+                terms, nth = Ragged(flat, size), np.searchsorted(ids, item)
             else:
                 terms, nth = Ragged.of_lists(list(b["terms"])), row
             if len(item):
