@@ -84,20 +84,16 @@ SHOWN = {";": ";", "；": "；", "\\n": "\n", "\\|": "|", "\\s\\|\\s": " |", "·
 BY_NUMBER = "(?:\\s*[;|])?\\s*(?=\\[\\d{1,4}\\]\\s)|\\s*[;|]\\s*$"
 
 
-def _rule(layout: Layout, holds) -> tuple[Column, Column]:
-    """The pattern that ends values and whether commas do, of a text that
-    ``holds`` the delimiters it is asked for. An empty pattern keeps it whole."""
-    pattern = F.concat_ws("|", *(F.when(holds(d), F.lit(d)) for d in layout.delimiters))
-    commas = holds(",") if layout.commas != "never" else F.lit(False)
-    if layout.numbered:
-        pattern = F.when(holds("number"), F.lit(BY_NUMBER)).otherwise(pattern)
-    return pattern, commas
-
-
 def rules(skeletons: DataFrame, layout: Layout) -> DataFrame:
-    """One row per skeleton: ``pattern`` that ends values, ``commas``."""
-    shown = {**SHOWN, ",": ",", "number": "\u0002"}
-    pattern, commas = _rule(layout, lambda d: F.col("skeleton").contains(shown[d]))
+    """One row per skeleton: ``pattern`` that ends values, ``commas``.
+
+    Only delimiters that the skeleton holds enter the pattern; a skeleton that
+    holds none gets an empty one, and its texts stay whole.
+    """
+    pattern = F.concat_ws("|", *(F.when(F.col("skeleton").contains(SHOWN[d]), F.lit(d)) for d in layout.delimiters))
+    if layout.numbered:
+        pattern = F.when(F.col("skeleton").contains("\u0002"), F.lit(BY_NUMBER)).otherwise(pattern)
+    commas = F.col("skeleton").contains(",") if layout.commas != "never" else F.lit(False)
     return skeletons.select("skeleton", pattern.alias("pattern"), commas.alias("commas"))
 
 
@@ -126,12 +122,16 @@ def value_as_typed(x: Column) -> Column:
 def split_values(text: Column, layout: Layout) -> Column:
     """The values packed in ``text`` as an array, without looking up rules.
 
-    For use inside other expressions; equal to ``unpack`` value for value.
+    For use inside other expressions; equal to ``unpack`` value for value, since
+    a delimiter that a text does not hold changes nothing.
     """
-    bare = F.array_join(F.transform(F.split(text, '"', -1), lambda s, i: F.when((F.size(F.split(text, '"', -1)) % 2 == 1) & (i % 2 == 1), F.lit("q")).otherwise(s)), "")
-    seen = {",": ",", "number": "\\[\\d{1,4}\\]"}
-    pattern, commas = _rule(layout, lambda d: bare.rlike(seen.get(d, d)))
-    return _split(text, pattern, commas, layout)
+    commas = F.lit(layout.commas != "never")
+    every = _split(text, F.lit("|".join(layout.delimiters)), commas, layout)
+    if not layout.numbered:
+        return every
+    parts = F.split(text, '"', -1)
+    numbered = F.exists(_outside(parts, lambda s: F.when(s.rlike("\\[\\d{1,4}\\]"), F.lit(MARK)).otherwise("")), lambda s: s == MARK)
+    return F.when(numbered, _split(text, F.lit(BY_NUMBER), commas, layout)).otherwise(every)
 
 
 def _split(text: Column, pattern: Column, commas: Column, layout: Layout) -> Column:
