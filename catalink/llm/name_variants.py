@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from catalink.llm.canonical_names import _folded
 from catalink.llm.components import components
-from catalink.sources.tables import staged
+from catalink.sources.tables import broadcast_if_small, staged
 
 #: Given names and their short forms.
 NICKNAMES = {
@@ -61,9 +61,9 @@ FILLERS = ("the", "of", "and", "for", "a", "in", "de", "la", "und", "et")
 
 @dataclass(frozen=True)
 class Lists:
-    """The reference lists of the rules. ``many``: nodes of one rewriting from
-    which on it is parted by the given name before nodes are joined; ``least``:
-    least score of a rewriting that is kept."""
+    """The reference lists of the rules. ``many``: nodes of one family and given
+    name from which on they meet by their middle names; ``least``: least score of
+    a rewriting that is kept."""
 
     nicknames: dict[str, str] = field(default_factory=lambda: NICKNAMES)
     legal_forms: dict[str, str] = field(default_factory=lambda: LEGAL_FORMS)
@@ -105,6 +105,24 @@ def slips(word: Column) -> Column:
     return F.array_distinct(F.concat(F.array(word), shorter))
 
 
+def rewritings(word: Column) -> Column:
+    """What a word has in common with every other that ``one_slip`` accepts: at
+    least one of these strings, marked by their kind.
+
+    One slip is undone by leaving a letter out, swapped letters by sorting them,
+    two slips by leaving two letters out. In words of more than 18 letters those
+    two leave the last letters alike or the first with one slip at most; words of
+    16 more have more of both in common.
+    """
+    n = F.length(word)
+    none = F.array().cast("array<string>")
+    marked = lambda kind, xs: F.transform(xs, lambda x: F.concat(F.lit(kind), x))
+    twice = F.flatten(F.transform(slips(F.when(n <= 18, word)), lambda x: slips(x)))
+    ends = lambda k: F.concat(marked(f"{k}<", slips(F.substring(word, 1, k))), F.array(F.concat(F.lit(f"{k}>"), F.right(word, F.lit(k)))))
+    parts = (marked("1", slips(word)), F.array(F.concat(F.lit("="), F.array_join(_letters(word), ""))), F.when(n.between(9, 18), marked("2", twice)).otherwise(none))
+    return F.array_distinct(F.concat(*parts, F.when(n.between(17, 34), ends(8)).otherwise(none), F.when(n >= 33, ends(16)).otherwise(none)))
+
+
 def _tokens(text: Column) -> Column:
     return F.filter(F.split(F.trim(F.regexp_replace(text, "[^\\p{L}\\p{N}']+", " ")), " "), lambda w: w != "")
 
@@ -159,27 +177,57 @@ def _clusters(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("cluster"))
 
 
-def _meeting(rewritten: DataFrame, finer: DataFrame | None = None, many: int = 50) -> DataFrame:
+def _meeting(rewritten: DataFrame) -> DataFrame:
     """``a`` < ``b``: nodes that share a rewriting, of (``node``, ``form``).
 
     Most rewritings belong to one node and end at the count; those of two name
-    their pair there, and only those of more are joined: up to ``many`` nodes
-    as they are, beyond that together with a rewriting of another part
-    (``finer``: ``node``, ``part``).
+    their pair there, and only those of more are joined.
     """
     rows = staged(rewritten, "forms")
     met = rows.groupBy("form").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
     met = staged(met, "met")
-    more = rows.join(met.where("n > 2").select("form", "n"), "form")
-    if finer is not None:
-        hot = more.where(F.col("n") > many)
-        parted = hot.join(finer, "node").select("node", F.xxhash64("form", "part").alias("form"))
-        more = more.where(F.col("n") <= many).select("node", "form").unionByName(parted)
-    more = staged(more.select("node", "form"), "many")
+    more = staged(rows.join(met.where("n > 2").select("form"), "form"), "many")
     x, y = more.withColumnRenamed("node", "a"), more.withColumnRenamed("node", "b")
     return met.where("n = 2").select("a", "b").unionByName(x.join(y, "form").where("a < b").select("a", "b")).distinct()
 
 
+def _near(words: DataFrame, word: str) -> DataFrame:
+    """``a``, ``b`` in both orders: different words that ``one_slip`` accepts."""
+    rows = words.select(F.col(word).alias("node")).distinct()
+    met = _meeting(rows.select("node", F.explode(F.transform(rewritings(F.col("node")), lambda x: F.xxhash64(x))).alias("form")))
+    met = staged(met.where(one_slip(F.col("a"), F.col("b"))), "near")
+    return met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def _turned_into(rows: DataFrame, near: DataFrame, column: str) -> DataFrame:
+    """The rows, and again with ``column`` put for each word near it."""
+    others = rows.join(broadcast_if_small(near).withColumnRenamed("a", column), column).withColumn(column, F.col("b")).drop("b")
+    return rows.unionByName(others)
+
+
+def _same_names(full: DataFrame, families: DataFrame, givens: DataFrame, many: int) -> DataFrame:
+    """``a`` < ``b``: nodes whose family and given names are equal or near.
+
+    Where a family and a given name have more than ``many`` nodes, these meet by
+    their first middle names, so far as they can agree; one without a middle
+    name meets all.
+    """
+    rows = full.select("node", "family", "given", F.split("middle", " ")[0].alias("first"))
+    hot = broadcast_if_small(rows.groupBy("family", "given").agg(F.count("*").alias("n")).where(F.col("n") > many).drop("n").withColumn("hot", F.lit(True)))
+    own = staged(rows.join(hot, ["family", "given"], "left"), "own")
+    meant = staged(_turned_into(_turned_into(rows, families, "family"), givens, "given").join(hot, ["family", "given"], "left"), "meant")
+    sides = [x.withColumnRenamed("node", side) for x, side in ((meant, "a"), (own, "b"))]
+    pairs = sides[0].where("hot is null").drop("first", "hot").join(sides[1].where("hot is null").drop("first", "hot"), ["family", "given"]).where("a < b").select("a", "b")
+    first, empty, single = F.col("first"), F.col("first") == "", F.length("first") == 1
+    spelt = F.when(F.length("first") >= 4, rewritings(first)).otherwise(F.array(F.concat(F.lit("1"), first)))
+    initial = F.substring("first", 1, 1)
+    marked = lambda kind, x: F.array(F.concat(F.lit(kind), x))
+    asks = F.concat(F.array(F.lit("to none")), F.when(empty, F.array(F.lit("to all"))).otherwise(F.concat(spelt, F.when(single, marked("short ", first)).otherwise(marked("long ", initial)))))
+    offers = F.concat(F.array(F.lit("to all")), F.when(empty, F.array(F.lit("to none"))).otherwise(F.concat(spelt, F.when(single, marked("long ", first)).otherwise(marked("short ", initial)))))
+    parts = [x.where("hot").select("family", "given", F.col(x.columns[2]), F.explode(F.array_distinct(p)).alias("part")) for x, p in zip(sides, (asks, offers))]
+    return pairs.unionByName(parts[0].join(parts[1], ["family", "given", "part"]).where("a < b").select("a", "b").distinct())
+
+
 def _agree(a: Column, b: Column, lists: Lists) -> Column:
     """Whether two lists of middle names may be one person's: name by name equal,
     an initial of the other, or a slip apart; further names may be missing."""
@@ -221,21 +269,19 @@ def person_links(names: DataFrame, lists: Lists = Lists()) -> DataFrame:
     accents = F.when((F.length("given") == 1) & ~F.col("body"), F.col("spelt")).otherwise("")
     parsed = staged(parsed.withColumn("accents", accents).withColumn("node", F.xxhash64("family", "given", "middle", "accents")), "persons")
     nodes = staged(parsed.select("node", "family", "given", "middle", "body", "accents").distinct(), "nodes")
-    full = nodes.where("length(given) > 1 or body")
+    # a name of one word has no given name, and is no initial
+    full = staged(nodes.where("length(given) <> 1 or body"), "full")
     popular = full.groupBy("given").agg(F.count_distinct("family").alias("df"))
-    forms = F.concat(
-        F.transform(slips(F.col("family")), lambda f: F.xxhash64(f, F.substring("given", 1, 1))),
-        F.when(F.col("body"), F.array().cast("array<bigint>")).otherwise(F.transform(slips(F.col("given")), lambda g: F.xxhash64("family", g))),
-    )
-    met = _meeting(full.select("node", F.explode(F.array_distinct(forms)).alias("form")), full.select("node", F.explode(slips(F.col("given"))).alias("part")), lists.many)
-    pairs = _with(met, full.join(popular, "given"), "family", "given", "middle", "df")
-    same_given = F.col("given_a") == F.col("given_b")
+    families = staged(_near(nodes, "family"), "families")
+    givens = _near(full, "given")
+    for s in "ab":
+        givens = givens.join(popular.select(F.col("given").alias(s), F.col("df").alias(f"df_{s}")), s)
     # two established given names are two names, however alike, unless one is far rarer
     known_names = sorted({*lists.nicknames, *lists.given_names})
-    established = lambda s: (F.col(f"df_{s}") >= ESTABLISHED) | F.col(f"given_{s}").isin(*known_names)
+    established = lambda s: (F.col(f"df_{s}") >= ESTABLISHED) | F.col(s).isin(*known_names)
     far_rarer = F.least("df_a", "df_b") * 8 <= F.greatest("df_a", "df_b")
-    slip_given = one_slip(F.col("given_a"), F.col("given_b")) & (far_rarer | ~(established("a") & established("b")))
-    pairs = pairs.where((same_given | slip_given) & one_slip(F.col("family_a"), F.col("family_b")) & _agree(F.col("middle_a"), F.col("middle_b"), lists))
+    givens = givens.where(far_rarer | ~(established("a") & established("b"))).select("a", "b")
+    pairs = _with(_same_names(full, families, givens, lists.many), full, "middle").where(_agree(F.col("middle_a"), F.col("middle_b"), lists))
     links = staged(pairs.select("a", "b", "middle_a", "middle_b"), "links")
     # a name with fewer or shorter middle names belongs to the only one that has more, if there is only one
     shorter = F.length("middle_a") < F.length("middle_b")
@@ -261,13 +307,11 @@ def person_links(names: DataFrame, lists: Lists = Lists()) -> DataFrame:
     only_one = [F.when(F.col(f"{k}_min") == F.col(f"{k}_max"), F.col(f"{k}_min")) for k in "nma"]
     sure = exact.select("node", F.coalesce(*only_one).alias("cluster")).where("cluster is not null")
     # the same through a slip in the family name, where none is spelt alike
-    left = short.join(exact.select("node"), "node", "left_anti")
-    slipped = known.select("cluster", F.col("family").alias("f2"), "g", "m").distinct().select("cluster", "f2", "g", "m", F.explode(slips(F.col("f2"))).alias("form"))
-    slipped = slipped.groupBy("form", "g", "f2", "m").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"))
-    near = left.select("node", F.col("family").alias("f1"), "g", "mi", F.explode(slips(F.col("family"))).alias("form")).join(slipped, ["form", "g"])
-    near = near.where(fits & one_slip(F.col("f1"), F.col("f2")))
-    near = near.groupBy("node").agg(F.min("low").alias("cluster"), F.max("high").alias("_high")).where("cluster = _high").select("node", "cluster")
-    sure = staged(sure.unionByName(near), "sure")
+    left = short.join(exact.select("node"), "node", "left_anti").withColumnRenamed("family", "a")
+    near = left.join(broadcast_if_small(families), "a").withColumnRenamed("b", "family").select("node", "family", "g", "mi").join(reach(["family", "g", "m"], known), ["family", "g"]).where(fits)
+    near = staged(near.select("node", "family", "g", "m", "low", "high", "n"), "near")
+    only_near = near.groupBy("node").agg(F.min("low").alias("cluster"), F.max("high").alias("_high")).where("cluster = _high").select("node", "cluster")
+    sure = staged(sure.unionByName(only_near), "sure")
     alone = short.join(sure.select("node"), "node", "left_anti")
     # initials that fit no full name: with and without the middle initial
     alone = alone.withColumn("base", F.xxhash64("family", "g", "middle"))
@@ -276,9 +320,14 @@ def person_links(names: DataFrame, lists: Lists = Lists()) -> DataFrame:
     only = bare.join(more, ["family", "g"]).select("base", "m1")
     rest = alone.join(only, "base", "left").select("node", F.coalesce("m1", "base").alias("cluster"))
     entity = clusters.unionByName(sure).unionByName(rest).withColumn("score", F.lit(1.0))
-    # ambiguous initials, as far as their rewriting is rare enough to say anything
-    open_ = exact.join(sure.select("node"), "node", "left_anti").where(F.col("n_n") * lists.least <= 1).select("node", (1.0 / F.col("n_n")).alias("score"))
-    could = short.join(open_, "node").join(known.select("cluster", "family", "g", "m").distinct(), ["family", "g"]).where(fits).select("node", "cluster", "score").distinct()
+    # ambiguous initials, as far as their rewriting is rare enough to say anything: an entity
+    # counts once, however many middle names it has; more than enough of one middle name are enough
+    could = by_name.select("node", "family", "g", "m", "n").unionByName(near.select("node", "family", "g", "m", "n")).join(sure.select("node"), "node", "left_anti")
+    could = staged(could, "could")
+    few = could.groupBy("node").agg(F.max("n").alias("n")).where(F.col("n") * lists.least <= 1).select("node")
+    could = staged(could.drop("n").join(few, "node").join(known.select("cluster", "family", "g", "m").distinct(), ["family", "g", "m"]).select("node", "cluster").distinct(), "could")
+    shared = could.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") * lists.least <= 1).select("node", (1.0 / F.col("n")).alias("score"))
+    could = could.join(shared, "node")
     return parsed.join(entity.unionByName(could), "node").select("name", F.col("cluster").alias("entity"), F.round("score", 6).alias("score"))
 
 
@@ -321,7 +370,7 @@ def organisation_entities(names: DataFrame, lists: Lists = Lists()) -> DataFrame
     node = F.xxhash64("place", "form", "country")
     nodes = parsed.select("place", "form", "country").distinct().withColumn("node", node)
     nodes = staged(nodes, "nodes")
-    met = _meeting(nodes.select("node", F.explode(F.transform(slips(F.col("place")), lambda p: F.xxhash64(p, "form"))).alias("form")))
+    met = _meeting(nodes.select("node", F.explode(F.transform(rewritings(F.col("place")), lambda p: F.xxhash64(p, "form"))).alias("form")))
     pairs = _with(met, nodes, "place", "country").where(one_slip(F.col("place_a"), F.col("place_b")))
     pairs = staged(pairs.where("country_a = country_b or country_a = '' or country_b = ''").select(F.col("a").alias("node_a"), F.col("b").alias("node_b"), "country_a", "country_b"), "pairs")
     # a name without its country belongs to the only country in reach

@@ -188,3 +188,46 @@ def test_hot_keys_lose_nothing(frame):
     rows = members(records(frame(left, SIDE), **ALL), records(frame(right, SIDE), **ALL)).collect()
     entity = {(r["side"], r["id"]): r["entity"] for r in rows}
     assert all(entity["l", a] == entity["r", b] for a, b in plain) and len(rows) == len({a for a, _ in plain}) + len({b for _, b in plain})
+
+
+def test_all_that_one_slip_accepts_meets(frame):
+    from pyspark.sql import functions as F
+
+    from catalink.llm.name_variants import one_slip, rewritings
+
+    rng = random.Random(3)
+    words = ["", "ab", "Krudrisivo", "marit", "cotucaibe", "q" * 18, "bcdefghijklmnopqrs", "international survey", "a panel of the northern terraces", "group of orchard thermodynamics and seismology"]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def slipped(w):
+        i = rng.randrange(len(w) + 1)
+        return rng.choice([w[:i] + rng.choice(letters) + w[i:], w[:i] + w[i + 1 :], w[:i] + rng.choice(letters) + w[i + 1 :]])
+
+    pool = {(w, slipped(slipped(w))) for w in words for _ in range(60)} | {(w, w[:i] + w[j] + w[i + 1 : j] + w[i] + w[j + 1 :]) for w in words for j in range(len(w)) for i in range(j)}
+    rows = frame(sorted(pool), "a string, b string").where(one_slip(F.col("a"), F.col("b")))
+    assert rows.count() > 300
+    assert rows.where(~F.arrays_overlap(rewritings(F.col("a")), rewritings(F.col("b")))).collect() == []
+
+
+def test_slips_in_both_names(frame):
+    # two slips in a long family name, a slip at the start of the given name, letters swapped across others, names of one word
+    for same in (["Robert Dofamelun", "Robert Dovamelum"], ["Ulrika Cotucaibe", "Alrika Cotucabe"], ["Zoran Belnik", "Zoran Bilnek"], ["Dofamelun", "DOFAMELUN"]):
+        assert pairs(frame, person_entities, [*same, "Hedwig Palmstrom"]) == closed(sorted(same))
+
+
+def test_entities_are_counted_once(frame):
+    names = [f"{g} {m} Flelasta".replace("  ", " ") for g in ("Edward", "Ellen") for m in ("", "Kim", "K.", "Kim Lee")]
+    rows = person_links(frame([(n,) for n in [*names, "E. Flelasta", "E. Flelaste", "E. Flelasto"]], "name string")).collect()
+    score = {}
+    for r in rows:
+        score.setdefault(r["name"], []).append(r["score"])
+    # eight spellings of two persons, and slips of them that fit both
+    assert all(score[n] == [1.0] for n in names)
+    assert all(sorted(score[n]) == [0.5, 0.5, 1.0] for n in ("E. Flelasta", "E. Flelaste", "E. Flelasto"))
+
+
+def test_many_of_one_name(frame):
+    middles = ["", "K", "Karl", "Kral", "Kim", "Lena", "Lema", "Lenna Marie", "L M", "Arl", "Maria", "Aria"]
+    people = [f"Nguyen, {g} {m}".strip() for g in ("Thorben", "Thorbn") for m in middles]
+    links = lambda many: sorted(map(tuple, person_links(frame([(n,) for n in people], "name string"), Lists(many=many)).collect()))
+    assert links(0) == links(10**9)
