@@ -231,3 +231,45 @@ def test_many_of_one_name(frame):
     people = [f"Nguyen, {g} {m}".strip() for g in ("Thorben", "Thorbn") for m in middles]
     links = lambda many: sorted(map(tuple, person_links(frame([(n,) for n in people], "name string"), Lists(many=many)).collect()))
     assert links(0) == links(10**9)
+
+
+def scored_and_bound(frame, left, right):
+    from pyspark.sql import functions as F
+
+    from catalink.llm.linking import TRAITS, compared, reach, telling, traits
+
+    a, b = (records(frame(x, SIDE), **ALL) for x in (left, right))
+    a = a.join(telling(a, b), "title", "left")
+    edges = a.select(F.col("id").alias("l")).crossJoin(b.select(F.col("id").alias("r")))
+    rough, near = reach()
+    sides = [traits(x).select(F.col("id").alias(s), *(F.col(t).alias(f"{t}_{s}") for t in TRAITS)) for x, s in ((a, "l"), (b, "r"))]
+    bounds = sides[0].crossJoin(sides[1]).select("l", "r", rough.alias("rough"), near.alias("near"), ((F.col("marks_l") == F.col("marks_r")) | (F.col("sub_l") != F.col("sub_r"))).alias("fits"))
+    return compared(edges, a, b).join(bounds, ["l", "r"])
+
+
+def test_no_score_is_out_of_reach(frame):
+    rng = random.Random(11)
+    words = ["clay", "gravel", "drainage", "terraces:", "kriging", "sorption", "Erratum to:", "z" * 30, "β", "part ii", "creep", "42"]
+
+    def some(key):
+        title = " ".join(rng.choices(words, k=rng.randrange(7)))
+        if rng.random() < 0.5:
+            title = "Residual drainage of clay: " + title[: rng.randrange(12)]
+        row = [title, rng.choice(["J. Soils", "Soils of soil", "Annals of x"]), str(rng.randrange(2000, 2004)), f"10.1/{rng.randrange(3)}", rng.choice(["A. Krumholt", "B. Krumhold", "Cy"]), *(str(rng.randrange(3)) for _ in range(3))]
+        return (key, *(None if rng.random() < 0.2 else x for x in row))
+
+    rows = scored_and_bound(frame, [some(i) for i in range(60)], [some(1000 + i) for i in range(60)])
+    got = rows.collect()
+    assert len(got) > 1000 and all(r["fits"] and r["score"] <= r["near"] + 1e-6 and r["near"] <= r["rough"] + 1e-6 for r in got)
+
+
+@pytest.mark.parametrize("hot", [1000, 1_000_000])
+def test_pairs_of_a_common_ending_are_not_made(frame, hot):
+    from catalink.llm.linking import candidates
+
+    rng = random.Random(4)
+    opening = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=30)) for _ in range(200)]
+    some = lambda key, k, n: (key, f"{opening[k]} hillslopes spectroscopy study", f"Notes of {opening[k][:6]}", str(1800 + k), f"10.1/{n}{k}", f"A. {opening[k][:9]}", str(n + k), None, str(n + k))
+    left, right = (records(frame(rows, SIDE), **ALL) for rows in ([some(i, i, 0) for i in range(100)], [some(1000 + i, i + 99, 500) for i in range(100)]))
+    edges = candidates(left, right, Linkage(hot=hot)).collect()
+    assert (99, 1000) in [(r["l"], r["r"]) for r in edges] and len(edges) < 100
