@@ -1,17 +1,17 @@
 """Candidate join: an inverted index of title words and a ranked top k.
 
 Scores are BM25 with statistics over the whole right side; the result is exactly
-the top k. For every left record its rarest words give k first candidates and so
-a score that any other must reach. Words which even together cannot reach it
-need not be looked up: a right record that shares only those is out. The lists
-of the others are joined, and what falls short with all that is missing added
-is dropped before the remaining words are looked up by record. An index that is
-small enough is sent to every worker and summed there in arrays.
+the top k. The right side is dealt out to parts of so many postings, and one
+part after the other is sent to the workers, which look the left records up in
+it: nothing but the best of each part is written. A right record is scored if the
+words that it shares can reach what the best k have. Which do is told by lists
+of the records of every two words, and by bits of the commonest words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,9 +19,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalink.functions.text import search_terms
-from catalink.sources.tables import staged, stored_bytes
+from catalink.sources.tables import staged
 
 K1, B = 1.2, 0.75
+#: Words of more than one in COMMON records are not looked up, of BITS of them each record has a bit; records of more than
+#: WIDE other words are always looked at; bounds are whole numbers of a UNIT.
+COMMON, BITS, WIDE, UNIT = 8, 12, 24, 1 << 14
 
 
 def index(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -35,69 +38,154 @@ def _weight(n: Column, average: Column) -> Column:
     return idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / average))
 
 
-def _in_arrays(words: DataFrame, weighed: DataFrame, k: int) -> DataFrame:
-    """The top k of every left record, from an index that every worker holds."""
-    index = weighed.select("term", "key", "w").toPandas().sort_values(["term", "key"])
-    keys, place = np.unique(index["key"].to_numpy(), return_inverse=True)
-    terms, begin = np.unique(index["term"].to_numpy(str), return_index=True)
-    ends = np.append(begin, len(index))
-    held = words.sparkSession.sparkContext.broadcast((dict(zip(terms.tolist(), range(len(terms)))), ends, place.astype(np.int32), index["w"].to_numpy(), keys))
+class Part:
+    """Postings (``term``, ``row`` from 0 on, ``weight``), sorted by row and term, made for lookups."""
+
+    def __init__(self, term: np.ndarray, row: np.ndarray, weight: np.ndarray) -> None:
+        self.n, self.weight = int(row[-1]) + 1, weight
+        self.begin = np.append(0, np.cumsum(np.bincount(row)))
+        self.terms, number = np.unique(term, return_inverse=True)
+        self.term, df = number.astype(np.int32), np.bincount(number)
+        order = np.argsort(number, kind="stable")
+        self.rows, self.weights, self.lists = row[order].astype(np.int32), weight[order], np.append(0, np.cumsum(df))
+        self.top = np.maximum.reduceat(self.weights, self.lists[:-1])
+        self.times = np.zeros(len(self.terms))
+        self.common = df * COMMON > self.n
+        # of the commonest words, a bit for each that a row holds
+        self.bit = {i: 1 << b for b, i in enumerate([i for i in np.argsort(-df, kind="stable")[:BITS].tolist() if self.common[i]])}
+        self.held = np.zeros(self.n, np.uint16)
+        for i, bit in self.bit.items():
+            self.held[self.rows[self.lists[i] : self.lists[i + 1]]] |= np.uint16(bit)
+        # the rows of every two of the other words
+        at = np.flatnonzero(~self.common[self.term])
+        own, size = self.term[at].astype(np.int64), np.bincount(row[at], minlength=self.n)
+        self.wide = np.flatnonzero(size > WIDE)
+        own_row, keys, rows = row[at], [], []
+        few = size[own_row] <= WIDE
+        for d in range(1, WIDE):
+            i = np.flatnonzero((own_row[d:] == own_row[:-d]) & few[d:]) if d < len(own) else np.empty(0, np.int64)
+            if not len(i):
+                break
+            keys.append(own[i] * len(self.terms) + own[i + d])
+            rows.append(own_row[i].astype(np.int32))
+        keys, rows = np.concatenate(keys or [np.empty(0, np.int64)]), np.concatenate(rows or [np.empty(0, np.int32)])
+        order = np.argsort(keys)
+        self.pairs, first = np.unique(keys[order], return_index=True)
+        self.met, self.ends = rows[order], np.append(first, len(keys))
+
+    def _all(self, at: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """The scores of all records."""
+        cut = [slice(self.lists[i], self.lists[i + 1]) for i in at]
+        return np.bincount(np.concatenate([self.rows[c] for c in cut]), np.concatenate([self.weights[c] * q for c, q in zip(cut, times)]), self.n)
+
+    def _sums(self, rows: np.ndarray) -> np.ndarray:
+        """The scores of some records, by their own words."""
+        first = self.begin[rows]
+        size = self.begin[rows + 1] - first
+        ends = np.cumsum(size)
+        own = np.repeat(first - (ends - size), size) + np.arange(ends[-1])
+        return np.add.reduceat(self.weight[own] * self.times[self.term[own]], ends - size)
+
+    def _likely(self, at: np.ndarray, most: np.ndarray, k: int) -> np.ndarray | None:
+        """Rows among which are the best ``k`` and all that equal them; none given if all have to be looked at.
+
+        Rows that share two of the words that are not common are met by these
+        two, and what they may score at most is summed; others share one such
+        word or none, and are looked at if that and the common words suffice.
+        """
+        rest = ~self.common[at]
+        words, weigh = at[rest], most[rest]
+        if not 2 <= len(words) <= WIDE:
+            return None
+        loose, ranges = most[~rest].sum(), []
+        for i, m in zip(at[~rest].tolist(), most[~rest].tolist()):
+            if i in self.bit:
+                ranges.append((self.bit[i], m))
+        table, always = np.zeros(1), loose - sum(m for _, m in ranges)
+        steps = dict(ranges)
+        for b in range(len(self.bit)):
+            table = np.concatenate([table, table + steps.get(1 << b, 0.0)])
+        table += always
+        x, y = np.triu_indices(len(words), 1)
+        low, high = np.minimum(words[x], words[y]), np.maximum(words[x], words[y])
+        keys, two = low * len(self.terms) + high, np.ceil((weigh[x] + weigh[y]) * UNIT).astype(np.int64)
+        place = np.minimum(np.searchsorted(self.pairs, keys), max(0, len(self.pairs) - 1))
+        found = np.flatnonzero(self.pairs[place] == keys) if len(self.pairs) else []
+        if not len(found) or two.max() >= 1 << 24:
+            return None
+        met = np.sort(np.concatenate([self.met[self.ends[p] : self.ends[p + 1]].astype(np.int64) << 24 | w for p, w in zip(place[found].tolist(), two[found].tolist())]))
+        row = met >> 24
+        first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        row, times = row[first], np.diff(np.append(first, len(met)))
+        # a row that shares c words is met c (c - 1) / 2 times, by each of them c - 1 times
+        bound = np.add.reduceat(met & ((1 << 24) - 1), first) / UNIT / ((np.sqrt(8.0 * times + 1) - 1) / 2) + table[self.held[row]] + 1e-9
+        if len(row) < k:
+            return None
+        some = max(0, len(row) - 4 * k)
+        ahead = row[bound >= np.partition(bound, some)[some]]
+        score = self._sums(ahead)
+        least = np.partition(score, len(score) - k)[len(score) - k] - 1e-5
+        if loose + 1e-9 >= least:
+            return None
+        rows = [row[bound >= least], self.wide]
+        for i, m in zip(words.tolist(), weigh.tolist()):
+            if m + loose + 1e-9 >= least:
+                own = self.rows[self.lists[i] : self.lists[i + 1]]
+                rows.append(own[table[self.held[own]] + (m + 1e-9) >= least])
+        return rows[0] if len(rows) == 2 and not len(self.wide) else np.unique(np.concatenate(rows))
+
+    def best(self, terms: np.ndarray, times: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and scores of the best ``k`` and of all that come as near as 1e-5 to the last of them."""
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        known = self.terms[at] == terms
+        at, times = at[known], times[known]
+        if not len(at):
+            return np.empty(0, np.int64), np.empty(0)
+        self.times[at] = times
+        rows = self._likely(at, self.top[at] * times, k)
+        if rows is None:
+            score = self._all(at, times)
+            rows = np.arange(self.n)
+        else:
+            score = self._sums(rows)
+        self.times[at] = 0.0
+        reached = np.partition(score, len(score) - k)[len(score) - k] - 1e-5 if len(score) > k else 0.0
+        near = np.flatnonzero((score >= reached) & (score > 0))
+        return rows[near], score[near]
+
+
+def _in_part(rows: DataFrame, part: DataFrame, k: int) -> DataFrame:
+    """The top k of every left record among the right records of one part, which every worker holds."""
+    index = part.toPandas()
+    keys, row = np.unique(index["key"].to_numpy(), return_inverse=True)
+    by = np.lexsort((index["t"].to_numpy(), row))
+    own = {"keys": keys, "postings": (index["t"].to_numpy()[by], row[by].astype(np.int32), index["w"].to_numpy()[by])}
+    held = rows.sparkSession.sparkContext.broadcast(own)
+    del index, row, by, own
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, ends, place, weight, keys = held.value
+        own = held.value
+        keys = own["keys"]
+        if "part" not in own:  # a worker keeps it for its next task
+            own["part"] = Part(*own.pop("postings")) if len(keys) else None
         for b in batches:
             lefts, rights, scores, ranks = [], [], [], []
-            for left, found, times in zip(b["left_id"], b["terms"], b["times"]):
-                lists = [(number[t], q) for t, q in zip(found, times) if t in number]
-                if not lists:
-                    continue
-                cut = [slice(ends[n], ends[n + 1]) for n, _ in lists]
-                # all sums of one record at once; a right record is a place in the array
-                score = np.bincount(np.concatenate([place[c] for c in cut]), np.concatenate([weight[c] * q for c, (_, q) in zip(cut, lists)]), len(keys))
-                least = np.partition(score, len(score) - k)[len(score) - k] - 1e-5 if len(score) > k else 0.0
-                near = np.flatnonzero((score >= least) & (score > 0))
-                near = near[np.lexsort((near, -np.round(score[near], 6)))][:k]
-                lefts.append(np.full(len(near), left))
-                rights.append(keys[near])
-                scores.append(score[near])
-                ranks.append(np.arange(1, len(near) + 1, dtype=np.int32))
+            for left, terms, times in zip(b["left_id"], b["terms"], b["times"]):
+                near, score = own["part"].best(terms, times, k)
+                best = np.lexsort((keys[near], -np.round(score, 6)))[:k]
+                lefts.append(np.full(len(best), left))
+                rights.append(keys[near[best]])
+                scores.append(score[best])
+                ranks.append(np.arange(1, len(best) + 1, dtype=np.int32))
             if lefts:
                 yield pd.DataFrame({n: np.concatenate(x) for n, x in (("left_id", lefts), ("right_id", rights), ("score", scores), ("rank", ranks))})
 
-    kinds = dict(words.dtypes)["left_id"], dict(weighed.dtypes)["key"]
-    rows = words.groupBy("left_id").agg(F.collect_list(F.struct("term", "qf")).alias("x")).select("left_id", F.col("x.term").alias("terms"), F.col("x.qf").alias("times"))
-    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = dict(rows.dtypes)["left_id"], dict(part.dtypes)["key"]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = rows.repartition(parts, "left_id").mapInPandas(run, f"left_id {kinds[0]}, right_id {kinds[1]}, score double, rank int")
     return found.withColumn("score", F.round("score", 6))
 
 
-def _by_needed_words(words: DataFrame, weighed: DataFrame, k: int) -> DataFrame:
-    """The same by joins, over an index of any size."""
-    stats = weighed.groupBy("term").agg(F.count("*").alias("df"), F.max("w").alias("top"))
-    own = Window.partitionBy("left_id")
-    known = words.join(stats, "term").withColumn("most", F.col("qf") * F.col("top"))
-    before = F.sum("df").over(own.orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1))
-    below = F.sum("most").over(own.orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0))
-    known = staged(known.withColumn("first", F.coalesce(before, F.lit(0)) < 4 * k).withColumn("below", below), "words")
-    lists = weighed.select("term", F.col("key").alias("right_id"), "w")
-
-    def summed(some: DataFrame) -> DataFrame:
-        return some.select("left_id", "term", "qf").join(lists, "term").groupBy("left_id", "right_id").agg(F.sum(F.col("qf") * F.col("w")).alias("s"))
-
-    place = F.row_number().over(own.orderBy(F.desc("s"), "right_id"))
-    least = summed(known.where("first")).withColumn("p", place).where(F.col("p") == k).select("left_id", F.col("s").alias("least"))
-    least = staged(least, "least")
-    known = staged(known.join(least, "left_id", "left").withColumn("needed", F.col("least").isNull() | (F.col("below") + 1e-5 >= F.col("least"))), "needed")
-    missing = known.where("not needed").groupBy("left_id").agg(F.sum("most").alias("missing"))
-    reached = summed(known.where("needed")).join(least, "left_id", "left").join(missing, "left_id", "left")
-    reached = staged(reached.where(F.col("least").isNull() | (F.col("s") + F.coalesce("missing", F.lit(0.0)) + 1e-5 >= F.col("least"))).select("left_id", "right_id", "s"), "reached")
-    rest = reached.select("left_id", "right_id").join(known.where("not needed").select("left_id", "term", "qf"), "left_id").join(lists, ["right_id", "term"])
-    rest = rest.groupBy("left_id", "right_id").agg(F.sum(F.col("qf") * F.col("w")).alias("e"))
-    scored = reached.join(rest, ["left_id", "right_id"], "left").select("left_id", "right_id", F.round(F.col("s") + F.coalesce("e", F.lit(0.0)), 6).alias("score"))
-    rank = F.row_number().over(own.orderBy(F.desc("score"), "right_id"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
-
-
 def weighed_index(right: DataFrame, rk: str = "id", rt: str = "title") -> DataFrame:
     """The postings of the right side with their BM25 weights (``key``, ``term``, ``w``), written once."""
     postings = staged(index(right, rk, rt), "postings")
@@ -107,16 +195,24 @@ def weighed_index(right: DataFrame, rk: str = "id", rt: str = "title") -> DataFr
     return staged(postings.join(df, "term").select("key", "term", _weight(n, average).alias("w")), "weighed")
 
 
-def candidates(left: DataFrame, right: DataFrame, k: int = 10, held: int = 1_000_000, lk: str = "id", lt: str = "title", rk: str = "id", rt: str = "title", weighed: DataFrame | None = None) -> DataFrame:
+def candidates(left: DataFrame, right: DataFrame, k: int = 10, held: int = 4_000_000, lk: str = "id", lt: str = "title", rk: str = "id", rt: str = "title", weighed: DataFrame | None = None) -> DataFrame:
     """``left_id``, ``right_id``, ``score`` (6 decimals), ``rank`` (1 to ``k``).
 
     A word counts as often as the left text repeats it. Ties go to the smaller
     right id. Records without words have no candidates; empty sides give none.
-    Up to ``held`` postings of the right side are sent to all workers.
+    About ``held`` postings of the right side are sent to all workers at once.
     ``weighed``: the index of the right side, if there is one already.
     """
     weighed = weighed_index(right, rk, rt) if weighed is None else weighed
+    terms = staged(weighed.select("term").distinct().withColumn("t", F.monotonically_increasing_id()), "terms")
     words = left.select(F.col(lk).alias("left_id"), F.explode(search_terms(F.col(lt))).alias("term")).groupBy("left_id", "term").agg(F.count("*").alias("qf"))
-    words = staged(words, "words")
-    few = stored_bytes(weighed) <= 16 << 20 and weighed.count() <= held
-    return (_in_arrays if few else _by_needed_words)(words, weighed, k)
+    rows = words.join(terms, "term").groupBy("left_id").agg(F.collect_list(F.struct("t", "qf")).alias("x")).select("left_id", F.col("x.t").alias("terms"), F.col("x.qf").alias("times"))
+    postings = weighed.join(terms, "term").select("key", "t", "w")
+    parts = -(-weighed.count() // max(1, held)) if held else 3
+    if parts <= 1:
+        return _in_part(rows, postings, k)
+    rows = staged(rows, "words")
+    postings = staged(postings.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")), "parts")
+    best = [staged(_in_part(rows, postings.where(F.col("part") == p).drop("part"), k).drop("rank"), "best") for p in range(parts)]
+    rank = F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("score"), "right_id"))
+    return reduce(DataFrame.unionByName, best).withColumn("rank", rank).where(F.col("rank") <= k)

@@ -46,6 +46,27 @@ def test_candidates_are_the_exact_top(frame, held):
     assert found == brute_top(left, right, 5)
 
 
+@pytest.mark.parametrize("held", [0, 900, 1_000_000])
+def test_candidates_of_few_words_are_not_written(frame, monkeypatch, held):
+    """Titles of few words, all of which many share: only the best of each part are written, not all that meet."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(25)]
+    title = lambda: " ".join(["study", "of"] + rng.sample(words, rng.choice([1, 2, 4, 5, 25])) + rng.choices(words, k=rng.choice([0, 1])))
+    left, right = [(i, title()) for i in range(80)], [(i, title()) for i in range(1000, 1400)]
+    written, write = [], blocking.staged
+
+    def counted(df, label="stage"):
+        out = write(df, label)
+        written.append(out.count() if {"left_id", "right_id"} <= set(out.columns) else 0)
+        return out
+
+    monkeypatch.setattr(blocking, "staged", counted)
+    got = blocking.candidates(frame(left, "id long, title string"), frame(right, "id long, title string"), 5, held)
+    found = {(r["left_id"], r["right_id"], r["rank"]) for r in got.collect()}
+    assert found == brute_top(left, right, 5)
+    assert max(written) <= 80 * 5
+
+
 def test_candidates_of_nothing(frame):
     empty = frame([], "id long, title string")
     assert blocking.candidates(empty, frame([(1, "a")], "id long, title string")).count() == 0
