@@ -156,12 +156,14 @@ class Part:
 
 def _in_part(rows: DataFrame, part: DataFrame, k: int) -> DataFrame:
     """The top k of every left record among the right records of one part, which every worker holds."""
-    index = part.toPandas()
-    keys, row = np.unique(index["key"].to_numpy(), return_inverse=True)
-    by = np.lexsort((index["t"].to_numpy(), row))
-    own = {"keys": keys, "postings": (index["t"].to_numpy()[by], row[by].astype(np.int32), index["w"].to_numpy()[by])}
+    # as Arrow: rows of Python objects would fill the driver
+    keys, terms, weights = part.select("key", "t", "w").toArrow().columns
+    keys, row = np.unique(keys.to_numpy(), return_inverse=True)
+    row, terms = row.astype(np.int32), terms.to_numpy()
+    by = np.lexsort((terms, row))
+    own = {"keys": keys, "postings": (terms[by], row[by], weights.to_numpy()[by])}
     held = rows.sparkSession.sparkContext.broadcast(own)
-    del index, row, by, own
+    del keys, row, terms, weights, by, own
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = held.value
@@ -195,7 +197,7 @@ def weighed_index(right: DataFrame, rk: str = "id", rt: str = "title") -> DataFr
     return staged(postings.join(df, "term").select("key", "term", _weight(n, average).alias("w")), "weighed")
 
 
-def candidates(left: DataFrame, right: DataFrame, k: int = 10, held: int = 4_000_000, lk: str = "id", lt: str = "title", rk: str = "id", rt: str = "title", weighed: DataFrame | None = None) -> DataFrame:
+def candidates(left: DataFrame, right: DataFrame, k: int = 10, held: int = 2_000_000, lk: str = "id", lt: str = "title", rk: str = "id", rt: str = "title", weighed: DataFrame | None = None) -> DataFrame:
     """``left_id``, ``right_id``, ``score`` (6 decimals), ``rank`` (1 to ``k``).
 
     A word counts as often as the left text repeats it. Ties go to the smaller
